@@ -1,0 +1,70 @@
+"""Queries of the general data-preparation problems: failed rows, drift, units, places."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from stratakit.operators import rowparse
+from stratakit.plans.registry import Registry
+from stratakit.session import table
+
+registry = Registry()
+
+# ---------------------------------------------------------------- 1: rows that fail to parse
+
+_KINDS = """
+kinds AS (
+  SELECT file_path, col_index_in_line AS i, coalesce(max(CASE cell_type WHEN 'double' THEN 'd' WHEN 'int' THEN 'i'
+    WHEN 'date' THEN 't' WHEN 'string' THEN 's' END), 's') AS k FROM searchforcolresults GROUP BY ALL),
+width AS (SELECT file_path, max(i) + 1 AS w FROM kinds GROUP BY file_path),
+line AS (SELECT DISTINCT line_id, file_path, delimiter AS d, extraction AS x FROM sheetextractionresult WHERE line_no <> 1),
+read AS (
+  SELECT *, CASE d WHEN ',' THEN regexp_full_match(x, '(?s)(?:"(?:[^"]|"")*"|[^",]*)(?:,(?:"(?:[^"]|"")*"|[^",]*))*')
+    WHEN ';' THEN regexp_full_match(x, '(?s)(?:"(?:[^"]|"")*"|[^";]*)(?:;(?:"(?:[^"]|"")*"|[^";]*))*')
+    ELSE regexp_full_match(x, '(?s)(?:"(?:[^"]|"")*"|[^"\\t]*)(?:\\t(?:"(?:[^"]|"")*"|[^"\\t]*))*') END AS sound,
+  CASE d WHEN ',' THEN regexp_extract_all(d || x, '(?s),("(?:[^"]|"")*"|[^",]*)', 1)
+    WHEN ';' THEN regexp_extract_all(d || x, '(?s);("(?:[^"]|"")*"|[^";]*)', 1)
+    ELSE regexp_extract_all(d || x, '(?s)\\t("(?:[^"]|"")*"|[^"\\t]*)', 1) END AS raw FROM line),
+cell AS (
+  SELECT line_id, d, unnest(raw) AS r, file_path, generate_subscripts(raw, 1) - 1 AS i FROM read WHERE sound),
+plain AS (SELECT *, CASE WHEN r LIKE '"%' THEN replace(substr(r, 2, length(r) - 2), '""', '"') ELSE r END AS c FROM cell),
+bad AS (
+  SELECT DISTINCT line_id FROM plain JOIN kinds USING (file_path, i) WHERE c <> '' AND NOT CASE k
+    WHEN 'd' THEN regexp_full_match(CASE d WHEN ';' THEN replace(c, ',', '.') ELSE c END,
+      '[ \\t]*[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?[ \\t]*')
+    WHEN 'i' THEN regexp_full_match(c, '[ \\t]*[+-]?[0-9]+[ \\t]*')
+    WHEN 't' THEN regexp_full_match(c, '[0-9]{4}-[0-9]{2}-[0-9]{2}') AND try_cast(c AS DATE) IS NOT NULL ELSE true END),
+verdict AS (
+  SELECT line_id, file_path, CASE WHEN NOT sound THEN 'quoting' WHEN len(raw) <> w THEN 'column_count'
+    WHEN bad.line_id IS NOT NULL THEN 'value' END AS reason FROM read LEFT JOIN width USING (file_path) LEFT JOIN bad USING (line_id))
+""".replace("\\t", "\t")
+
+
+def _parsed(spark: SparkSession, d: str) -> DataFrame:
+    return rowparse.error_parse(table(spark, d, "sheetextractionresult"), table(spark, d, "searchforcolresults"))
+
+
+@registry.query(f"WITH {_KINDS} SELECT DISTINCT line_id, reason FROM verdict WHERE reason IS NOT NULL")
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return rowparse.rejected(_parsed(spark, d)).select("line_id", "reason").distinct()
+
+
+@registry.query(f"""WITH {_KINDS} SELECT file_path, coalesce(reason, 'loaded') AS outcome, count(*) AS n
+  FROM verdict GROUP BY ALL""")
+def p1_outcome_per_file(spark: SparkSession, d: str) -> DataFrame:
+    """Lines per file and outcome; every line is either loaded or rejected."""
+    parsed = _parsed(spark, d)
+    return parsed.groupBy("file_path", F.coalesce("reason", F.lit("loaded")).alias("outcome")).agg(F.count("*").alias("n"))
+
+
+@registry.query()
+def p1_repairs(spark: SparkSession, d: str) -> DataFrame:
+    """The cheapest edits that would make each rejected line readable."""
+    return rowparse.rejected(_parsed(spark, d))
+
+
+@registry.query()
+def p1_loaded(spark: SparkSession, d: str) -> DataFrame:
+    """The lines that load, split into their fields."""
+    return rowparse.loaded(_parsed(spark, d))
