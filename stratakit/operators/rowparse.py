@@ -177,6 +177,10 @@ def _parse(line: pd.Series, delimiter: pd.Series, kinds: pd.Series) -> pd.DataFr
     return pd.DataFrame(rows, columns=PARSED.names)
 
 
+#: Not to be evaluated again for each use of a field of its result.
+_parse_once = _parse.asNondeterministic()
+
+
 def kind_letter(cell_type: Column) -> Column:
     return (
         F.when(cell_type == "double", "d").when(cell_type == "int", "i").when(cell_type == "date", "t").otherwise("s")
@@ -214,7 +218,7 @@ def error_parse(lines: DataFrame, headers: DataFrame) -> DataFrame:
     )
     joined = salted_join(body, header_kinds(headers), ["file_path"], "left", ["line_id"], keep=True)
     once = joined.dropDuplicates([*body.columns, "__salt"])
-    parsed = once.withColumn("p", _parse("extraction", "delimiter", "kinds"))
+    parsed = once.withColumn("p", _parse_once("extraction", "delimiter", "kinds"))
     return parsed.select(*body.columns, "p.*")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratakit.operators import rowparse
+from stratakit.operators import drift, rowparse, units
 from stratakit.plans.registry import Registry
 from stratakit.session import table
 
@@ -68,3 +68,111 @@ def p1_repairs(spark: SparkSession, d: str) -> DataFrame:
 def p1_loaded(spark: SparkSession, d: str) -> DataFrame:
     """The lines that load, split into their fields."""
     return rowparse.loaded(_parsed(spark, d))
+
+
+# ---------------------------------------------------------------- 2: schemas that drift between files
+
+_QUANTITIES = [*drift.CORE, *drift.PROMOTABLE]
+
+_SCHEMAS = """
+file AS (SELECT DISTINCT file_path, feed, created_at FROM searchforcolresults),
+step AS (SELECT file_path, lag(file_path) OVER (PARTITION BY feed ORDER BY created_at) AS old_path FROM file),
+cell AS (SELECT file_path, quantity, min(matched_string) AS name, min(cell_type) AS cell_type
+  FROM searchforcolresults JOIN searchterm USING (search_term) GROUP BY ALL),
+quantity AS (SELECT DISTINCT quantity FROM searchterm),
+pair AS (SELECT s.file_path, q.quantity, a.name AS a, b.name AS b, a.cell_type AS ta, b.cell_type AS tb
+  FROM step s CROSS JOIN quantity q LEFT JOIN cell a ON a.file_path = s.file_path AND a.quantity = q.quantity
+  LEFT JOIN cell b ON b.file_path = s.old_path AND b.quantity = q.quantity WHERE s.old_path IS NOT NULL)
+"""
+
+
+def _schemas(spark: SparkSession, d: str) -> DataFrame:
+    """Every file's schema after rescue, promotion and replay."""
+    cells = drift.header_cells(table(spark, d, "searchforcolresults"), table(spark, d, "searchterm"))
+    return drift.promote_schemas(drift.observed_schemas(cells), list(drift.PROMOTABLE))
+
+
+@registry.query(rf"""WITH {_SCHEMAS}
+  SELECT file_path, quantity, 'added' AS change FROM pair WHERE a IS NOT NULL AND b IS NULL
+  UNION ALL SELECT file_path, quantity, 'removed' FROM pair WHERE a IS NULL AND b IS NOT NULL
+  UNION ALL SELECT file_path, quantity, 'renamed' FROM pair
+    WHERE lower(regexp_replace(a, '\s', '', 'g')) <> lower(regexp_replace(b, '\s', '', 'g'))
+  UNION ALL SELECT file_path, quantity, 'retyped' FROM pair WHERE a IS NOT NULL AND b IS NOT NULL AND ta <> tb""")
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return drift.schema_changes(_schemas(spark, d), _QUANTITIES)
+
+
+def _ingested(spark: SparkSession, d: str) -> DataFrame:
+    cells = drift.header_cells(table(spark, d, "searchforcolresults"), table(spark, d, "searchterm"))
+    return drift.ingest_lines(rowparse.loaded(_parsed(spark, d)), drift.layouts(cells, list(drift.CORE)))
+
+
+@registry.query()
+def p2_rescued(spark: SparkSession, d: str) -> DataFrame:
+    """All loading lines in the core schema, everything else in the rescue column."""
+    return _ingested(spark, d)
+
+
+@registry.query()
+def p2_table(spark: SparkSession, d: str) -> DataFrame:
+    """All loading lines in one consistent table after promotion and replay."""
+    return drift.promote_lines(_ingested(spark, d))
+
+
+# ---------------------------------------------------------------- 3: quantities recorded in different units
+
+_CODES = "(" + ", ".join(map(str, units.MISSING_CODES)) + ")"
+
+
+def _shares(column: str, *limits: float) -> str:
+    value = f"abs({column})"
+    ok = f"filter(WHERE {column} NOT IN {_CODES}"
+    return ", ".join([f"count({column}) {ok}) AS n_{column}", *[f"count(*) {ok} AND {value} > {x}) AS {column}_{i}" for i, x in enumerate(limits)]])
+
+
+_UNITS = rf"""
+share AS (SELECT cpt_id, {_shares("depth", 31, 105, 3100)}, {_shares("qc", 70, 770)}, {_shares("fs", 0.8, 8.8)},
+  {_shares("u2", 0.8, 8.8)} FROM cptmeasurements GROUP BY cpt_id),
+head AS (SELECT DISTINCT file_path, quantity, lower(matched_string) AS h FROM searchforcolresults JOIN searchterm USING (search_term)),
+said AS (SELECT file_path, quantity, CASE WHEN regexp_matches(h, '[^a-z]bars?[^a-z]*$') THEN 'bar'
+  WHEN regexp_matches(h, '(tsf|ton/ft2)[^a-z]*$') THEN 'tsf' WHEN regexp_matches(h, 'kgf?/cm[2²][^a-z]*$') THEN 'kgf_cm2'
+  WHEN regexp_matches(h, '[^a-z](ft|feet|foot)[^a-z]*$') THEN 'ft' END AS unit FROM head),
+cpt AS (SELECT DISTINCT cpt_id, source_file FROM cptreport),
+one AS (SELECT s.*, d.unit AS sd, q.unit AS sq, f.unit AS sf, u.unit AS su FROM share s LEFT JOIN cpt USING (cpt_id)
+  LEFT JOIN said d ON d.file_path = source_file AND d.quantity = 'depth' LEFT JOIN said q ON q.file_path = source_file AND q.quantity = 'qc'
+  LEFT JOIN said f ON f.file_path = source_file AND f.quantity = 'fs' LEFT JOIN said u ON u.file_path = source_file AND u.quantity = 'u'),
+long AS (
+  SELECT cpt_id, 'depth' AS quantity, CASE WHEN n_depth = 0 THEN NULL WHEN depth_2 >= 0.1 * n_depth THEN 'mm' WHEN depth_1 >= 0.5 * n_depth THEN 'cm'
+    WHEN sd = 'ft' OR depth_0 >= 0.5 * n_depth THEN 'ft' END AS unit FROM one
+  UNION ALL SELECT cpt_id, 'qc', CASE WHEN n_qc = 0 THEN NULL WHEN sq IS NOT NULL AND qc_1 < 0.5 * n_qc THEN sq WHEN qc_0 >= 0.5 * n_qc THEN 'kpa' END FROM one
+  UNION ALL SELECT cpt_id, 'fs', CASE WHEN n_fs = 0 THEN NULL WHEN sf IS NOT NULL AND fs_1 < 0.5 * n_fs THEN sf WHEN fs_0 >= 0.5 * n_fs THEN 'kpa' END FROM one
+  UNION ALL SELECT cpt_id, 'u', CASE WHEN n_u2 = 0 THEN NULL WHEN su IS NOT NULL AND u2_1 < 0.5 * n_u2 THEN su WHEN u2_0 >= 0.5 * n_u2 THEN 'kpa' END FROM one),
+level AS (SELECT DISTINCT value_id, abs(ground_water_level) AS v, lower(ground_water_level_note) AS n
+  FROM extractedsinglevalues WHERE ground_water_level IS NOT NULL),
+num AS (SELECT value_id, v, unnest(regexp_extract_all(n, '([0-9]+(?:[.][0-9]+)?)\s*[a-z]+')) AS t FROM level),
+own AS (SELECT value_id, min(regexp_extract(t, '[a-z]+')) AS t FROM num WHERE regexp_extract(t, '^[0-9.]+')::DOUBLE = v
+  AND regexp_matches(t, '[0-9]\s*(m|metres?|mtr|cm|centimetres?|mm|millimetres?|ft|feet)$') GROUP BY value_id),
+bare AS (SELECT value_id, regexp_extract(n, '(?:\bin|[\[(])\s*(m|metres?|mtr|cm|centimetres?|mm|millimetres?|ft|feet)(?:[^a-z]|$)', 1) AS t FROM level),
+lu AS (SELECT value_id, coalesce(own.t, nullif(bare.t, '')) AS t FROM bare LEFT JOIN own USING (value_id))
+"""
+
+
+def _sounding_units(spark: SparkSession, d: str) -> DataFrame:
+    names = ("cptreport", "cptmeasurements", "searchforcolresults", "searchterm")
+    return units.sounding_units(spark, *[table(spark, d, n) for n in names])
+
+
+@registry.query(rf"""WITH {_UNITS}
+  SELECT 'cptreport' AS record_kind, cpt_id AS record_id, quantity, unit AS recorded_unit FROM long WHERE unit IS NOT NULL
+  UNION ALL SELECT 'extractedsinglevalues', value_id, 'ground_water_level', CASE WHEN t LIKE 'c%' THEN 'cm' WHEN t LIKE 'f%' THEN 'ft' ELSE 'mm' END
+    FROM lu WHERE t NOT IN ('m', 'metre', 'metres', 'mtr')
+  UNION ALL SELECT DISTINCT 'extractedsinglevalues', value_id, 'tip_net_area_ratio', 'percent' FROM extractedsinglevalues WHERE tip_net_area_ratio > 1.5""")
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    values = table(spark, d, "extractedsinglevalues")
+    return units.foreign_units(_sounding_units(spark, d), units.level_units(spark, values), units.ratio_units(values))
+
+
+@registry.query()
+def p3_measurements(spark: SparkSession, d: str) -> DataFrame:
+    """Every measurement in m and MPa."""
+    return units.convert_soundings(table(spark, d, "cptmeasurements"), _sounding_units(spark, d))
