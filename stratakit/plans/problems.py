@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratakit.operators import drift, rowparse, units
+from stratakit.operators import drift, rowparse, spatial, units
 from stratakit.plans.registry import Registry
 from stratakit.session import table
 
@@ -176,3 +176,55 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
 def p3_measurements(spark: SparkSession, d: str) -> DataFrame:
     """Every measurement in m and MPa."""
     return units.convert_soundings(table(spark, d, "cptmeasurements"), _sounding_units(spark, d))
+
+
+# ---------------------------------------------------------------- 5: points near other points or regions
+
+WINDOW = (165.0, -48.0, 179.0, -33.0)
+NEAR_M = 30.0
+
+_PLACES = r"""
+place AS (SELECT DISTINCT nzgd_id, latitude AS lat, longitude AS lon, floor(latitude * 2000)::BIGINT AS i, floor(longitude * 2000)::BIGINT AS j
+  FROM nzgdrecord WHERE latitude BETWEEN -48 AND -33 AND longitude BETWEEN 165 AND 179),
+around AS (SELECT p.*, i + a.d AS bi, j + b.d AS bj FROM place p, (VALUES (-1), (0), (1)) a(d), (VALUES (-1), (0), (1)) b(d)),
+near AS (SELECT DISTINCT least(p.nzgd_id, q.nzgd_id) AS a, greatest(p.nzgd_id, q.nzgd_id) AS b FROM around p JOIN place q
+  ON q.i = p.bi AND q.j = p.bj AND p.nzgd_id <> q.nzgd_id
+  WHERE 2 * 6371008.8 * asin(sqrt(least(1, power(sin(radians(q.lat - p.lat) / 2), 2)
+    + cos(radians(p.lat)) * cos(radians(q.lat)) * power(sin(radians(q.lon - p.lon) / 2), 2)))) <= 30),
+ring AS (SELECT district_id, unnest(regexp_extract_all(area_wkt, '[(]([^()]+)[)]', 1)) AS r FROM districtarea),
+pts AS (SELECT district_id, row_number() OVER () AS ring_id, string_split(r, ',') AS p FROM ring),
+vertex AS (SELECT district_id, ring_id, generate_subscripts(p, 1) AS k, trim(unnest(p)) AS v, len(p) AS n FROM pts),
+corner AS (SELECT district_id, ring_id, k, n, string_split(v, ' ')[1]::DOUBLE AS x, string_split(v, ' ')[2]::DOUBLE AS y FROM vertex),
+edge AS (SELECT a.district_id, a.x AS x1, a.y AS y1, b.x AS x2, b.y AS y2 FROM corner a JOIN corner b
+  ON a.ring_id = b.ring_id AND b.k = a.k % a.n + 1 WHERE a.y <> b.y),
+hit AS (SELECT p.nzgd_id, p.lat, p.lon, e.district_id FROM place p JOIN edge e ON (e.y1 > p.lat) <> (e.y2 > p.lat)
+  AND p.lon < (e.x2 - e.x1) * (p.lat - e.y1) / (e.y2 - e.y1) + e.x1 GROUP BY ALL HAVING count(*) % 2 = 1),
+wrong AS (SELECT DISTINCT h.nzgd_id, h.district_id FROM hit h JOIN nzgdrecord r ON r.nzgd_id = h.nzgd_id AND r.latitude = h.lat
+  AND r.longitude = h.lon WHERE r.district_id IS NULL OR r.district_id <> h.district_id)
+"""
+
+
+@registry.query(f"""WITH {_PLACES} SELECT 'near' AS case_kind, a::BIGINT AS id_a, b::BIGINT AS id_b FROM near
+  UNION ALL SELECT 'district', nzgd_id, district_id FROM wrong""")
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    records = table(spark, d, "nzgdrecord")
+    positions = spatial.usable_positions(records, WINDOW)
+    near = spatial.near_records(positions, WINDOW, NEAR_M).select(
+        F.lit("near").alias("case_kind"), F.col("id_a").cast("long"), F.col("id_b").cast("long")
+    )
+    areas = table(spark, d, "districtarea").select(F.col("district_id").alias("region"), F.col("area_wkt").alias("wkt"))
+    found = spatial.misplaced(records, positions, spatial.containing_regions(positions, areas, WINDOW))
+    district = found.select(F.lit("district").alias("case_kind"), F.col("nzgd_id").cast("long").alias("id_a"), F.col("region").cast("long").alias("id_b"))
+    return near.unionByName(district)
+
+
+@registry.query(f"""WITH {_PLACES}, site AS (SELECT lon, lat, count(DISTINCT nzgd_id) AS n_records FROM place GROUP BY ALL),
+  cell AS (SELECT *, floor(lat * 2000)::BIGINT AS i, floor(lon * 2000)::BIGINT AS j FROM site),
+  grown AS (SELECT c.*, i + a.d AS bi, j + b.d AS bj FROM cell c, (VALUES (-1), (0), (1)) a(d), (VALUES (-1), (0), (1)) b(d))
+  SELECT p.lon, p.lat, p.n_records, sum(q.n_records)::BIGINT AS n_near FROM grown p JOIN cell q ON q.i = p.bi AND q.j = p.bj
+  WHERE 2 * 6371008.8 * asin(sqrt(least(1, power(sin(radians(q.lat - p.lat) / 2), 2)
+    + cos(radians(p.lat)) * cos(radians(q.lat)) * power(sin(radians(q.lon - p.lon) / 2), 2)))) <= 30 GROUP BY ALL""")
+def p5_neighbour_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Per site the number of its records and of the records within reach, without writing pairs."""
+    positions = spatial.usable_positions(table(spark, d, "nzgdrecord"), WINDOW)
+    return spatial.near_counts(positions, WINDOW, NEAR_M).drop("site")
