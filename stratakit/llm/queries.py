@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratakit.llm import neardup
+from stratakit.llm import canonical, neardup
 from stratakit.plans.registry import Registry
 from stratakit.session import table
 
@@ -46,3 +46,14 @@ def p4_groups(spark: SparkSession, d: str) -> DataFrame:
     grouped = neardup.components(reps, links)
     out = membership.join(grouped.select(F.col("id").alias("rep"), "component"), "rep")
     return out.select(F.col("id").alias("cpt_id"), F.col("component").alias("group_id"))
+
+
+# ---------------------------------------------------------------- 6: mapping free-entered values to a canonical list
+
+
+@registry.query()
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    typed = table(spark, d, "extractedsinglevalues")
+    fields = ["termination_reason", "ground_water_level_note"]
+    values = typed.select("value_id", F.inline(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("value")) for f in fields])))
+    return canonical.canonical(values, table(spark, d, "referenceentry"))
