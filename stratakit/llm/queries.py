@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratakit.llm import canonical, neardup
+from stratakit.llm import canonical, mixing, neardup, packing, spans, tokens
 from stratakit.plans.registry import Registry
-from stratakit.session import table
+from stratakit.session import cut, table
 
 registry = Registry()
 
@@ -57,3 +57,62 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     fields = ["termination_reason", "ground_water_level_note"]
     values = typed.select("value_id", F.inline(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("value")) for f in fields])))
     return canonical.canonical(values, table(spark, d, "referenceentry"))
+
+
+# ---------------------------------------------------------------- 7: filling fixed-capacity containers
+
+
+def _sized(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    return docs.select("doc_id", "source", tokens.token_count(F.col("text")).alias("tokens"))
+
+
+@registry.query()
+def p7_packing(spark: SparkSession, d: str) -> DataFrame:
+    """Every text, or piece of one, with its container and the container's fill."""
+    return packing.pack(_sized(spark, d), table(spark, d, "containersize"))
+
+
+@registry.query()
+def p7_summary(spark: SparkSession, d: str) -> DataFrame:
+    return packing.summary(p7_packing(spark, d))
+
+
+# ---------------------------------------------------------------- 8: mixing sources to target weights
+
+
+@registry.query()
+def p8_mixture(spark: SparkSession, d: str) -> DataFrame:
+    """The mixture, in order."""
+    return mixing.mix(_sized(spark, d), table(spark, d, "mixtarget"))
+
+
+@registry.query()
+def p8_shares(spark: SparkSession, d: str) -> DataFrame:
+    sized = cut(_sized(spark, d))
+    targets = table(spark, d, "mixtarget")
+    return mixing.shares(mixing.mix(sized, targets), targets, sized)
+
+
+# ---------------------------------------------------------------- 9: long exact spans shared between records
+
+
+@registry.query("""WITH w AS (SELECT DISTINCT doc_id, hash(substr(text, i, 200)) AS h FROM (
+    SELECT doc_id, text, unnest(generate_series(1, length(text) - 199)) AS i FROM documents WHERE length(text) >= 200))
+  SELECT DISTINCT a.doc_id AS doc_id_a, b.doc_id AS doc_id_b FROM w a JOIN w b ON a.h = b.h AND a.doc_id < b.doc_id""")
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return spans.sharing_pairs(cut(spans.occurrences(table(spark, d, "documents"))))
+
+
+@registry.query("""WITH t AS (SELECT doc_id, coalesce(max(length(text)), 0) AS n_chars FROM documents GROUP BY doc_id),
+  w AS (SELECT doc_id, i, hash(substr(text, i, 200)) AS h FROM (
+    SELECT doc_id, text, unnest(generate_series(1, length(text) - 199)) AS i FROM documents WHERE length(text) >= 200)),
+  s AS (SELECT h FROM w GROUP BY h HAVING count(DISTINCT doc_id) > 1),
+  c AS (SELECT DISTINCT doc_id, unnest(generate_series(i, i + 199)) AS at FROM w WHERE h IN (SELECT h FROM s)),
+  n AS (SELECT doc_id, count(*) AS shared_chars FROM c GROUP BY doc_id)
+  SELECT doc_id, n_chars, coalesce(shared_chars, 0) AS shared_chars,
+    CASE WHEN n_chars > 0 THEN coalesce(shared_chars, 0)::DOUBLE / n_chars ELSE 0.0::DOUBLE END AS share FROM t LEFT JOIN n USING (doc_id)""")
+def p9_cover(spark: SparkSession, d: str) -> DataFrame:
+    """How much of each text is shared elsewhere."""
+    docs = table(spark, d, "documents")
+    return spans.shared_cover(docs, cut(spans.occurrences(docs)))
