@@ -123,6 +123,7 @@ def ingest_lines(lines: DataFrame, layout: DataFrame, core: Mapping[str, str] =
     ``lines``: line_id, file_path, line_no, delimiter, fields. An empty cell is null and is not rescued; a cell beyond
     the known header is rescued without a name.
     """
+    lines = lines.select("line_id", "file_path", "line_no", "delimiter", "fields")
     joined = salted_join(lines, layout, ["file_path"], "left", ["line_id"])
     named = F.transform(
         F.coalesce("fields", F.array().cast("array<string>")),

@@ -126,7 +126,8 @@ def header_units(spark: SparkSession, headers: DataFrame, terms: DataFrame) -> D
     """(file_path, quantity, unit) as the header cells spell it; unit is null where none is spelled."""
     known = terms.groupBy("search_term").agg(F.min("quantity").alias("quantity"))
     cells = (
-        headers.join(broadcast_if_small(known), "search_term")
+        headers.select("file_path", "search_term", "matched_string", "col_index_in_line", "received_at")
+        .join(broadcast_if_small(known), "search_term")
         .where(F.col("quantity").isin("depth", "qc", "fs", "u") & F.col("file_path").isNotNull())
         .groupBy("file_path", "quantity")
         .agg(F.min_by("matched_string", F.struct("col_index_in_line", "received_at")).alias("name"))
@@ -189,7 +190,8 @@ def factor(unit: Column) -> Column:
 
 def convert_soundings(measurements: DataFrame, units: DataFrame) -> DataFrame:
     """All measurements in m and MPa: depth made positive, missing-reading codes made null, repeated rows kept."""
-    rows = salted_join(measurements, units, ["cpt_id"], "left", ["measurement_id"])
+    rows = measurements.select("measurement_id", "cpt_id", "depth", "qc", "fs", "u2")
+    rows = salted_join(rows, units, ["cpt_id"], "left", ["measurement_id"])
     value = lambda c, u: reading(F.col(c)) * factor(F.col(u))
     return rows.select(
         "measurement_id", "cpt_id", F.abs(value("depth", "depth_unit")).alias("depth"), value("qc", "qc_unit").alias("qc"),
