@@ -194,15 +194,15 @@ def candidates(prints: DataFrame, threshold: float) -> DataFrame:
 def verify(rows: DataFrame, record: str, columns: Sequence[str], pairs: DataFrame, threshold: float) -> DataFrame:
     """(a, b, similarity) of the pairs (a, b, na, nb) whose exact row sets reach the threshold."""
     asked = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    clean = [(F.col(c) + F.lit(0.0) if t in ("double", "float") else F.col(c)).alias(c) for c, t in rows.dtypes if c in columns]
+    types = dict(rows.dtypes)
+    clean = [(F.col(c) + F.lit(0.0) if types[c] in ("double", "float") else F.col(c)).alias(f"v{k}") for k, c in enumerate(columns)]
     kept = rows.where(F.col(record).isNotNull()).select(F.col(record).cast("long").alias("id"), *clean)
     kept = kept.join(broadcast_if_small(asked), "id", "left_semi").distinct()
-    ab = broadcast_if_small(pairs)
-    left = kept.join(ab, F.col("id") == F.col("a")).drop("id").alias("l")
+    left = kept.join(broadcast_if_small(pairs), F.col("id") == F.col("a")).drop("id").alias("l")
     right = kept.alias("r")
     same = F.col("r.id") == F.col("l.b")
-    for c in columns:
-        same = same & F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}"))
+    for k in range(len(columns)):
+        same = same & F.col(f"l.v{k}").eqNullSafe(F.col(f"r.v{k}"))
     common = left.join(right, same).groupBy("l.a", "l.b", "l.na", "l.nb").agg(F.count("*").alias("common"))
     similarity = F.col("common") / (F.col("na") + F.col("nb") - F.col("common"))
     return common.select("a", "b", similarity.alias("similarity")).where(F.col("similarity") >= threshold)
