@@ -33,7 +33,8 @@ def depth_scale(center: float, boxes: pd.DataFrame, widest: float = 5.0, rounds:
     ``boxes`` come bottom to top. A band around the centre is searched by halving: too few labels widen it, depths that rise upward
     narrow it. The fit of the last acceptable band counts.
     """
-    labels = [(d, y, a, b) for d, y, a, b in zip(boxes["text"].map(depth_label), (boxes["y0"] + boxes["y1"]) / 2, boxes["x0"], boxes["x1"]) if d is not None]
+    read = [depth_label(t) for t in boxes["text"]]
+    labels = [(d, y, a, b) for d, y, a, b in zip(read, (boxes["y0"] + boxes["y1"]) / 2, boxes["x0"], boxes["x1"]) if d is not None]
     low, high, fit = 0.0, widest, None
     for _ in range(rounds):
         eps = (low + high) / 2

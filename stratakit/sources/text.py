@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from fnmatch import fnmatch
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +17,8 @@ def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     ``content`` is read only when it is used.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path)
-    return with_names(files)
+    nothing = empty_files(spark, path, glob).select("path", F.lit(0).cast("long").alias("length"), F.lit(b"").alias("content"))
+    return with_names(files.select("path", "length", "content").unionByName(nothing))
 
 
 def with_names(files: DataFrame) -> DataFrame:
@@ -30,6 +33,19 @@ def with_names(files: DataFrame) -> DataFrame:
     )
 
 
+def empty_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
+    """(path) of the files without any byte, which the binary reader does not list."""
+    sc = spark.sparkContext
+    root = sc._jvm.org.apache.hadoop.fs.Path(path)
+    found = root.getFileSystem(sc._jsc.hadoopConfiguration()).listFiles(root, True)
+    empty = []
+    while found.hasNext():
+        f = found.next()
+        if f.getLen() == 0 and fnmatch(f.getPath().getName(), glob):
+            empty.append((f.getPath().toString(),))
+    return spark.createDataFrame(empty, "path string")
+
+
 def listing_failures(files: DataFrame, special: dict[str, str] | None = None) -> DataFrame:
     """Failure rows that need no content: records with nothing but nondata files, names without ``_``, known special cases."""
     by_record = files.groupBy("record").agg(F.count_if(F.col("kind").isin("spreadsheet", "ags")).alias("n"), F.min("file_name").alias("file_name"))
