@@ -38,6 +38,18 @@ def code_points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
+_POWERS = [np.empty(0, np.uint64), np.empty(0, np.uint64)]
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers of the base and of its inverse, kept from text to text."""
+    if len(_POWERS[0]) < n:
+        size = max(n, 1 << 16)
+        _POWERS[0] = np.cumprod(np.full(size, _BASE, np.uint64), dtype=np.uint64)
+        _POWERS[1] = np.cumprod(np.full(size, _INVERSE, np.uint64), dtype=np.uint64)
+    return _POWERS[0][:n], _POWERS[1][:n]
+
+
 def window_hashes(points: np.ndarray, size: int) -> np.ndarray:
     """64-bit polynomial hash of every window of ``size`` code points."""
     n = len(points)
@@ -45,8 +57,7 @@ def window_hashes(points: np.ndarray, size: int) -> np.ndarray:
         return np.empty(0, np.uint64)
     c = (points.astype(np.uint64) + np.uint64(1)) * np.uint64(0xBF58476D1CE4E5B9)
     c ^= c >> np.uint64(29)
-    up = np.cumprod(np.full(n, _BASE, np.uint64), dtype=np.uint64)
-    down = np.cumprod(np.full(n, _INVERSE, np.uint64), dtype=np.uint64)
+    up, down = _powers(n)
     prefix = np.concatenate([np.zeros(1, np.uint64), np.cumsum(c * down, dtype=np.uint64)])
     h = (prefix[size:] - prefix[:-size]) * up[: n - size + 1]
     h *= np.uint64(0x94D049BB133111EB)
@@ -78,10 +89,10 @@ def marks(text: str, passage: int = PASSAGE, run: int = RUN) -> tuple[np.ndarray
 
 def _mark_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        for i, text in zip(pdf["doc_id"], pdf["text"]):
-            h, at = marks(text)
-            if len(h):
-                yield pd.DataFrame({"doc_id": np.full(len(h), i, np.int64), "h": h, "pos": at})
+        ids, found = pdf["doc_id"].to_numpy(), [marks(t) for t in pdf["text"]]
+        if found:
+            h, at = (np.concatenate(part) for part in zip(*found))
+            yield pd.DataFrame({"doc_id": np.repeat(ids, [len(x) for x, _ in found]), "h": h, "pos": at})
 
 
 def _texts(documents: DataFrame) -> DataFrame:
