@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratakit.session import broadcast_if_small, salted_join
+from stratakit.session import broadcast_if_small, cut, salted_join
 
 #: Share of an entry's letters that must be found again, in the first and the second round.
 COVERED, ALIKE = 0.5, 0.66
@@ -54,8 +54,8 @@ def without_measures(value: Column) -> Column:
 def _segments(text: Column, k: Column) -> Column:
     """Array of (segment text, position) for every cut and every shift a match may show; positions count from 1."""
     size = F.length(text)
-    cut = lambda i: F.floor(i * size / (k + 1)).cast("int")
-    per_cut = F.transform(F.sequence(F.lit(0), k), lambda i: F.struct(cut(i).alias("at"), (cut(i + 1) - cut(i)).alias("n")))
+    start = lambda i: F.floor(i * size / (k + 1)).cast("int")
+    per_cut = F.transform(F.sequence(F.lit(0), k), lambda i: F.struct(start(i).alias("at"), (start(i + 1) - start(i)).alias("n")))
     shifted = F.flatten(F.transform(per_cut, lambda s: F.transform(
         F.sequence(-k, k), lambda d: F.struct(F.substring(text, s["at"] + 1, s["n"]).alias("part"), (s["at"] + 1 + d).alias("pos"))
     )))
@@ -81,7 +81,7 @@ def pigeonhole(values: DataFrame, value: str, refs: DataFrame, ref: str, k: str)
     ``refs`` must be small; its row count is checked before it is broadcast. The lengths of its segments, a handful of
     numbers, decide which substrings of the values are formed.
     """
-    keyed = refs.withColumn("__p", F.explode(_segments(F.col(ref), F.col(k)))).select("*", "__p.part", "__p.pos").drop("__p")
+    keyed = cut(refs.withColumn("__p", F.explode(_segments(F.col(ref), F.col(k)))).select("*", "__p.part", "__p.pos").drop("__p"))
     facts = keyed.agg(F.collect_set(F.length("part")).alias("sizes"), F.max(F.length(ref) + F.col(k)).alias("longest")).head()
     sizes, longest = sorted(facts["sizes"]), facts["longest"] or 0
     text = F.col(value)
@@ -131,7 +131,7 @@ def canonical(values: DataFrame, reference: DataFrame) -> DataFrame:
     entries = known.withColumn("plain", F.trim(F.regexp_replace(plain(F.col("entry")), "[^a-z ]+", " ")))
     rows = values.where("value is not null").select("value_id", "field", "value").distinct()
     loose = rows.join(broadcast_if_small(known.select("field", F.col("entry").alias("value"))), ["field", "value"], "left_anti")
-    meant = _meanings(loose.select("field", "value").distinct(), entries)
+    meant = cut(_meanings(cut(loose.select("field", "value").distinct()), entries))
     found = salted_join(loose, meant, ["field", "value"], "inner", ["value_id"]).select("value_id", "field", "entry_id")
     none = salted_join(loose, meant, ["field", "value"], "left_anti", ["value_id"]).select("value_id", "field", F.lit(0).alias("entry_id"))
     return found.unionByName(none).distinct()
@@ -149,11 +149,11 @@ def _meanings(spelled: DataFrame, entries: DataFrame) -> DataFrame:
         .agg(F.min("lost").alias("lost"))
         .groupBy("field", "value", "entry_id")
         .agg(F.sum(F.greatest(F.col("letters") - F.col("lost"), F.lit(0))).alias("kept"), F.sum("lost").alias("lost"))
-        .join(F.broadcast(entries.select("entry_id", "field", F.length(F.regexp_replace("plain", " ", "")).alias("size"))), ["field", "entry_id"])
+        .join(broadcast_if_small(entries.select("entry_id", "field", F.length(F.regexp_replace("plain", " ", "")).alias("size"))), ["field", "entry_id"])
         .withColumn("score", F.col("kept") / F.col("size"))
     )
     rank = F.struct(-F.col("score"), "lost", "entry_id")
-    first = covered.where(F.col("score") >= COVERED).groupBy("field", "value").agg(F.min_by("entry_id", rank).alias("entry_id"))
+    first = cut(covered.where(F.col("score") >= COVERED).groupBy("field", "value").agg(F.min_by("entry_id", rank).alias("entry_id")))
     rest = text.join(first, ["field", "value"], "left_anti")
     letters = rest.select("field", "value", F.regexp_replace(F.regexp_replace("text", _FILLERS, ""), "[^a-z]+", "").alias("letters"))
     alike = pigeonhole(letters.select(F.col("field").alias("of"), "letters").distinct(), "letters", _letter_refs(entries), "form", "k")
