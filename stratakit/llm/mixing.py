@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from stratakit.session import cut
+from stratakit.session import broadcast_if_small, cut
 
 #: Records per stretch of a source's shuffled order; running totals are taken within stretches and then over them.
 STRETCH = 50_000
@@ -32,10 +32,8 @@ def supplies(records: DataFrame, targets: DataFrame) -> DataFrame:
     )
     have = records.where("tokens > 0").groupBy("source").agg(F.sum("tokens").alias("supply"), F.count("*").alias("n"))
     both = wanted.join(have, "source", "left")
-    present = both.agg(F.sum(F.when(F.col("supply") > 0, F.col("target_share"))).alias("present"))
-    return both.crossJoin(F.broadcast(present)).withColumn(
-        "weight", F.when(F.col("supply") > 0, F.col("target_share") / F.col("present"))
-    ).drop("present")
+    present = both.agg(F.sum(F.when(F.col("supply") > 0, F.col("target_share")))).head()[0]
+    return both.withColumn("weight", F.when(F.col("supply") > 0, F.col("target_share") / F.lit(present)))
 
 
 def full_budget(supply: DataFrame) -> float:
@@ -51,7 +49,7 @@ def mix(records: DataFrame, targets: DataFrame, budget: float | None = None, see
     limit = full_budget(supply) if budget is None else float(budget)
     usable = supply.where("weight is not null").select("source", "weight", "supply", "uses", "n")
     stretches = F.greatest(F.ceil(F.col("n") / STRETCH), F.lit(1)).cast("int")
-    placed = known.join(F.broadcast(usable), "source").withColumn("h", F.xxhash64("doc_id", F.lit(seed)))
+    placed = known.join(broadcast_if_small(usable), "source").withColumn("h", F.xxhash64("doc_id", F.lit(seed)))
     # stretches follow the order of h: its upper 31 bits, scaled to the number of stretches
     upper = F.shiftrightunsigned("h", 33)
     placed = placed.withColumn("stretch", F.shiftright(upper * stretches, 31).cast("int"))
@@ -71,12 +69,12 @@ def mix(records: DataFrame, targets: DataFrame, budget: float | None = None, see
 
 def shares(mixed: DataFrame, targets: DataFrame, records: DataFrame) -> DataFrame:
     """Per target source the target and actual share, tokens, records and uses in the mixture, and what kept it from its share."""
-    total = mixed.agg(F.sum("tokens").alias("total"))
+    total = mixed.agg(F.sum("tokens")).head()[0]
     per = mixed.groupBy("source").agg(F.sum("tokens").alias("tokens"), F.count("*").alias("records"), F.max("use").alias("most_uses"))
     supply = supplies(records.where("source is not null"), targets)
-    out = supply.join(per, "source", "left").crossJoin(F.broadcast(total))
+    out = supply.join(per, "source", "left")
     return out.select(
-        "source", "target_share", (F.coalesce("tokens", F.lit(0)) / F.col("total")).alias("actual_share"), F.coalesce("tokens", F.lit(0)).alias("tokens"),
+        "source", "target_share", (F.coalesce("tokens", F.lit(0)) / F.lit(total)).alias("actual_share"), F.coalesce("tokens", F.lit(0)).alias("tokens"),
         F.coalesce("records", F.lit(0)).alias("records"), F.coalesce("most_uses", F.lit(0)).alias("most_uses"), F.col("uses").alias("uses_allowed"),
         F.when(F.col("weight").isNull(), "no tokens in this source").alias("remark"),
     )

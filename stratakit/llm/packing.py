@@ -24,6 +24,8 @@ from stratakit.session import cut
 
 #: Items per block, and the fill below which a container is packed again in the next round.
 BLOCK_ITEMS, KEEP_FILL, ROUNDS = 4000, 0.995, 3
+#: Kinds of container in one call; each item is packed once for each.
+MOST_KINDS = 100
 #: Partner containers that a container looks at in one pass of the search.
 PARTNERS = 12
 
@@ -156,12 +158,17 @@ _ITEM = "container string, capacity_tokens int, doc_id long, piece int, tokens l
 def pack(items: DataFrame, containers: DataFrame) -> DataFrame:
     """(container, capacity_tokens, doc_id, piece, tokens, bin, fill): every piece of every item, once per kind of container.
 
-    ``items``: doc_id, tokens. ``containers``: container, capacity_tokens (a short list; crossed with the items because
-    every item is packed once for each).
+    ``items``: doc_id, tokens. ``containers``: container, capacity_tokens (at most ``MOST_KINDS``; every item is
+    packed once for each).
     """
-    kinds = containers.where("capacity_tokens >= 1").select("container", F.col("capacity_tokens").cast("int")).distinct()
+    kinds = containers.where("capacity_tokens >= 1").select("container", F.col("capacity_tokens").cast("int")).distinct().head(MOST_KINDS + 1)
+    if len(kinds) > MOST_KINDS:
+        raise ValueError(f"more than {MOST_KINDS} kinds of container")
     sizes = items.select("doc_id", F.coalesce(F.col("tokens"), F.lit(0)).cast("long").alias("tokens"))
-    per_kind = sizes.join(F.broadcast(kinds.limit(10_000)), F.lit(True))
+    choices = F.array(*[F.struct(F.lit(c).cast("string").alias("container"), F.lit(n).alias("capacity_tokens")) for c, n in sorted(kinds, key=str)])
+    if not kinds:
+        choices = F.array().cast("array<struct<container:string,capacity_tokens:int>>")
+    per_kind = sizes.select("doc_id", "tokens", F.inline(choices))
     cap = F.col("capacity_tokens")
     pieces = per_kind.withColumn("piece", F.explode(F.sequence(F.lit(0), F.greatest(F.ceil(F.col("tokens") / cap), F.lit(1)) - 1).cast("array<int>")))
     pieces = pieces.withColumn("tokens", F.least(F.col("tokens") - F.col("piece") * cap, cap.cast("long")))
@@ -170,7 +177,7 @@ def pack(items: DataFrame, containers: DataFrame) -> DataFrame:
     done = full.withColumn("bin", F.concat_ws("-", "container", F.lit("full"), "doc_id", "piece")).withColumn("fill", cap.cast("long"))
     rest = pieces.where(F.col("tokens") < cap)
     for r in range(ROUNDS):
-        blocks = max(1, -(-rest.count() // (BLOCK_ITEMS * max(1, kinds.count()))))
+        blocks = max(1, -(-rest.count() // (BLOCK_ITEMS * max(1, len(kinds)))))
         spread = rest.withColumn("block", F.pmod(F.xxhash64("doc_id", "piece", F.lit(r)), F.lit(blocks)).cast("int"))
         packed = cut(spread.groupBy("container", "block").applyInPandas(_packer(r), _ITEM + ", bin string, fill long"))
         last = r == ROUNDS - 1 or blocks == 1

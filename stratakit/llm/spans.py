@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from stratakit.session import cut
+from stratakit.session import broadcast_if_small, cut
 
 PASSAGE, RUN = 64, 200
 #: Passages per automaton, characters of text per block, and classes of a passage that are still compared in pairs.
@@ -118,7 +118,7 @@ def occurrences(documents: DataFrame) -> DataFrame:
     carriers = found.join(recurring.select("h"), "h", "left_semi").select("doc_id", shard.alias("shard")).distinct()
     load = texts.join(carriers, "doc_id")
     sizes = load.groupBy("shard").agg(F.ceil(F.sum(F.length("text")) / BLOCK_CHARS).cast("int").alias("blocks"))
-    sizes = F.broadcast(cut(sizes))  # one row per shard
+    sizes = broadcast_if_small(cut(sizes))  # one row per shard
     placed = load.join(sizes, "shard").select("shard", F.pmod(F.xxhash64("doc_id"), "blocks").cast("int").alias("block"), "doc_id", "text")
     copies = lines.join(sizes, "shard").select("shard", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "h", "passage")
     out = placed.groupBy("shard", "block").cogroup(copies.groupBy("shard", "block")).applyInPandas(
