@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from stratakit import constants as K
 from stratakit.functions.numbers import median_of_counts, nearest_power_of_ten, real
-from stratakit.session import chunked_lag, salted_join
+from stratakit.session import broadcast_if_small, chunked_lag, salted_join
 
 READINGS = ("depth", "qc", "fs", "u2")
 #: Rows per chunk of the sequence when a lag is taken.
@@ -135,7 +135,7 @@ def condition(df: DataFrame, sheet: str, seq: str, names: DataFrame, strict: boo
 def names_by_sheet(reports: DataFrame, headers: DataFrame, terms: DataFrame, columns: Mapping[str, str] | None = None) -> DataFrame:
     """(cpt_id, depth_name, qc_name, fs_name, u2_name) from the header cells of each report's file."""
     columns = columns or {"depth": "depth", "qc": "qc", "fs": "fs", "u": "u2"}
-    known = F.broadcast(terms.groupBy("search_term").agg(F.min("quantity").alias("quantity")).limit(10_000))
+    known = broadcast_if_small(terms.groupBy("search_term").agg(F.min("quantity").alias("quantity")))
     names = headers.join(known, "search_term").groupBy("file_path").agg(
         *[F.min_by(F.when(F.col("quantity") == q, F.col("matched_string")), F.when(F.col("quantity") == q, F.col("col_index_in_line"))).alias(f"{c}_name") for q, c in columns.items()]
     )
