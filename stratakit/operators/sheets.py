@@ -18,7 +18,7 @@ from pyspark.sql.window import Window
 
 from stratakit import constants as K
 from stratakit.functions.numbers import to_number
-from stratakit.operators.conditioning import CHUNK
+from stratakit.operators.conditioning import CHUNK, truncate_after
 from stratakit.session import chunked_lag, cut, salted_join
 
 DELIMITERS = {",": ",", ";": ";", "\t": "\t", " ": r"\s+"}
@@ -233,9 +233,9 @@ def parameter_columns(names: DataFrame, sheet: str) -> DataFrame:
     return names.withColumn("parameter", F.explode(F.array_compact(F.array(*options)))).drop("__first")
 
 
-def chosen_columns(options: DataFrame, facts: DataFrame, sheet: str) -> DataFrame:
+def chosen_columns(options: DataFrame, facts: DataFrame, sheet: str, avoid: str | None = None) -> DataFrame:
     """(sheet, parameter, col, name): per parameter the first column that has more than three numbers, does not look like an index and
-    was not claimed by an earlier parameter; of equal names the one with most numbers counts."""
+    was not claimed by an earlier parameter; of equal names the one with most numbers counts. Names that contain ``avoid`` come last."""
     rich = options.join(facts, [sheet, "col"])
     of_name = Window.partitionBy(sheet, "parameter", "name").orderBy(F.desc("n_numbers"), "col")
     one = rich.withColumn("k", F.row_number().over(of_name)).where("k = 1").where(f"n_numbers > {K.MIN_POINTS} and not index_like")
@@ -243,7 +243,9 @@ def chosen_columns(options: DataFrame, facts: DataFrame, sheet: str) -> DataFram
     ranked = one.withColumn("o", order)
     claim = F.min("o").over(Window.partitionBy(sheet, "name"))
     free = ranked.withColumn("claim", claim).where("o = claim")
-    return free.groupBy(sheet, "parameter").agg(F.min_by(F.struct("col", "name"), "col").alias("c")).select(sheet, "parameter", "c.col", "c.name")
+    return free.groupBy(sheet, "parameter").agg(
+        F.min_by(F.struct("col", "name"), F.struct(F.col("name").contains(avoid) if avoid else F.lit(False), "col")).alias("c")
+    ).select(sheet, "parameter", "c.col", "c.name")
 
 
 def missing_parameters(sheets: DataFrame, chosen: DataFrame, sheet: str) -> DataFrame:
@@ -256,17 +258,29 @@ def missing_parameters(sheets: DataFrame, chosen: DataFrame, sheet: str) -> Data
 
 
 def measurements(body: DataFrame, chosen: DataFrame, sheet: str, required: Sequence[str] = tuple(K.PARAMETERS)) -> DataFrame:
-    """(sheet, row, depth, qc, fs, u): the chosen columns of every sheet that has all required parameters."""
+    """(sheet, row, depth, qc, fs, u, bad): the chosen columns of every sheet that has all required parameters.
+
+    ``bad`` rows hold text where the depth should be, or nothing at all: data ends there.
+    """
     wide = chosen.groupBy(sheet).agg(*[F.max(F.when(F.col("parameter") == p, F.col("col"))).alias(f"c_{p}") for p in K.PARAMETERS])
     for p in required:
         wide = wide.where(F.col(f"c_{p}").isNotNull())
     joined = salted_join(body, wide, [sheet], "inner", ["row"])
     value = lambda p: to_number(F.try_element_at("cells", F.col(f"c_{p}") + 1)).alias(p)
-    return joined.select(sheet, "row", *[value(p) for p in K.PARAMETERS])
+    out = joined.select(sheet, "row", *[value(p) for p in K.PARAMETERS], F.try_element_at("cells", F.col("c_depth") + 1).alias("__text"))
+    text = F.col("__text").isNotNull() & F.col("depth").isNull()
+    return out.withColumn("bad", text | F.coalesce(*[F.col(p) for p in K.PARAMETERS]).isNull()).drop("__text")
 
 
 def extract(lines: DataFrame, sheet: str) -> tuple[DataFrame, DataFrame]:
-    """(measurements, failures) of every sheet: header search, merging, column choice, rows with three or more numbers.
+    """(measurements, failures), see :func:`extract_named`."""
+    good, failed, _ = extract_named(lines, sheet)
+    return good, failed
+
+
+def extract_named(lines: DataFrame, sheet: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(measurements, failures, chosen columns) of every sheet: header search, merging, column choice, rows up to the first that is no
+    data, of these the ones with three or more numbers.
 
     ``lines``: sheet, row, cells. Failure categories: no_header_row, missing_columns, no_numeric_data.
     """
@@ -275,11 +289,11 @@ def extract(lines: DataFrame, sheet: str) -> tuple[DataFrame, DataFrame]:
     options = parameter_columns(merged_names(lines, spans, sheet), sheet)
     body = salted_join(lines, spans.select(sheet, "last"), [sheet], "inner", ["row"]).where("row > last").drop("last")
     chosen = cut(chosen_columns(options, column_facts(body, sheet), sheet))
-    rows = measurements(body, chosen, sheet)
+    rows = truncate_after(measurements(body, chosen, sheet), sheet, "row", F.col("bad")).drop("bad")
     numbers = sum((F.col(p).isNotNull().cast("int") for p in K.PARAMETERS), F.lit(0))
     good = rows.where(numbers >= K.MIN_ROW_SURPLUS)
     headless = found.where("header_row is null").select(sheet, F.lit("no_header_row").alias("category"), F.lit("").alias("details"))
     missing = missing_parameters(spans, chosen, sheet)
-    tried = rows.groupBy(sheet).agg(F.count_if(numbers >= K.MIN_ROW_SURPLUS).alias("n")).where("n = 0")
-    empty = tried.select(sheet, F.lit("no_numeric_data").alias("category"), F.lit("").alias("details"))
-    return good, headless.unionByName(missing).unionByName(empty)
+    complete = chosen.groupBy(sheet).agg(F.count("*").alias("n")).where(F.col("n") == len(K.PARAMETERS)).select(sheet)
+    empty = complete.join(good.select(sheet), sheet, "left_anti").select(sheet, F.lit("no_numeric_data").alias("category"), F.lit("").alias("details"))
+    return good, headless.unionByName(missing).unionByName(empty), chosen

@@ -203,6 +203,8 @@ def convert_soundings(measurements: DataFrame, units: DataFrame) -> DataFrame:
 
 #: A measure in a note: a number and what follows it, or a unit alone in brackets or after "in".
 _MEASURE = rf"(\d+(?:\.\d+)?)\s*({_SPELLING})"
+#: Sizes of other things: they name no level, even where the number happens to equal it.
+_SIZES = rf"(?:collar|casing)\s+\d+(?:\.\d+)?\s*{_SPELLING}|\d+(?:\.\d+)?\s*{_SPELLING}\s*(?:pipe|tube|cap|up)\b"
 _BARE = rf"(?i)(?:\bin|level in|[\[(])\s*({_SPELLING})"
 
 
@@ -213,7 +215,7 @@ def level_units(spark: SparkSession, values: DataFrame) -> DataFrame:
     Numbers that differ from the level are sizes of other things.
     """
     rows = values.where("ground_water_level is not null and value_id is not null").select(
-        "value_id", F.abs("ground_water_level").alias("level"), F.lower("ground_water_level_note").alias("note")
+        "value_id", F.abs("ground_water_level").alias("level"), F.regexp_replace(F.lower("ground_water_level_note"), _SIZES, " ").alias("note")
     ).distinct()
     found = rows.select(
         "value_id",

@@ -188,9 +188,10 @@ def missing_columns(spark: SparkSession, d: str) -> DataFrame:
 
 @registry.query(f"""WITH {_CHOSEN}, pick AS (SELECT file_path, max(col) FILTER (WHERE parameter = 'depth') AS a, max(col) FILTER (WHERE parameter = 'qc') AS b,
   max(col) FILTER (WHERE parameter = 'fs') AS c, max(col) FILTER (WHERE parameter = 'u') AS e FROM chosen GROUP BY file_path),
-  w AS (SELECT l.file_path, l.row, max(num) FILTER (WHERE col = a) AS depth, max(num) FILTER (WHERE col = b) AS qc, max(num) FILTER (WHERE col = c) AS fs, max(num) FILTER (WHERE col = e) AS u
+  w AS (SELECT l.file_path, l.row, max(num) FILTER (WHERE col = a) AS depth, max(num) FILTER (WHERE col = b) AS qc, max(num) FILTER (WHERE col = c) AS fs, max(num) FILTER (WHERE col = e) AS u, max(raw) FILTER (WHERE col = a) AS t
     FROM lines l JOIN pick USING (file_path) LEFT JOIN cell x ON x.file_path = l.file_path AND x.row = l.row WHERE a IS NOT NULL AND b IS NOT NULL AND c IS NOT NULL AND e IS NOT NULL GROUP BY ALL)
-  SELECT * FROM w WHERE (depth IS NOT NULL)::INT + (qc IS NOT NULL)::INT + (fs IS NOT NULL)::INT + (u IS NOT NULL)::INT >= 3""")
+  , stop AS (SELECT file_path, min(row) AS stop FROM w WHERE t IS NOT NULL AND depth IS NULL OR coalesce(depth, qc, fs, u) IS NULL GROUP BY file_path)
+  SELECT w.* EXCLUDE (t) FROM w LEFT JOIN stop USING (file_path) WHERE (stop IS NULL OR row < stop) AND (depth IS NOT NULL)::INT + (qc IS NOT NULL)::INT + (fs IS NOT NULL)::INT + (u IS NOT NULL)::INT >= 3""")
 def sheet_measurements(spark: SparkSession, d: str) -> DataFrame:
     """PR14, PR15, V1: every sheet's four columns, rows with three or more numbers."""
     return S.extract(cut(_lines(spark, d)), "file_path")[0]

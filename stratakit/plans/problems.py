@@ -147,8 +147,8 @@ long AS (
   UNION ALL SELECT cpt_id, 'qc', CASE WHEN n_qc = 0 THEN NULL WHEN sq IS NOT NULL AND qc_1 < 0.5 * n_qc THEN sq WHEN qc_0 >= 0.5 * n_qc THEN 'kpa' END FROM one
   UNION ALL SELECT cpt_id, 'fs', CASE WHEN n_fs = 0 THEN NULL WHEN sf IS NOT NULL AND fs_1 < 0.5 * n_fs THEN sf WHEN fs_0 >= 0.5 * n_fs THEN 'kpa' END FROM one
   UNION ALL SELECT cpt_id, 'u', CASE WHEN n_u2 = 0 THEN NULL WHEN su IS NOT NULL AND u2_1 < 0.5 * n_u2 THEN su WHEN u2_0 >= 0.5 * n_u2 THEN 'kpa' END FROM one),
-level AS (SELECT DISTINCT value_id, abs(ground_water_level) AS v, lower(ground_water_level_note) AS n
-  FROM extractedsinglevalues WHERE ground_water_level IS NOT NULL),
+level AS (SELECT DISTINCT value_id, abs(ground_water_level) AS v, regexp_replace(lower(ground_water_level_note),
+  '(?:collar|casing)\s+[0-9.]+\s*[a-z]+|[0-9.]+\s*[a-z]+\s*(?:pipe|tube|cap|up)\b', ' ', 'g') AS n FROM extractedsinglevalues WHERE ground_water_level IS NOT NULL),
 num AS (SELECT value_id, v, unnest(regexp_extract_all(n, '([0-9]+(?:[.][0-9]+)?)\s*[a-z]+')) AS t FROM level),
 own AS (SELECT value_id, min(regexp_extract(t, '[a-z]+')) AS t FROM num WHERE regexp_extract(t, '^[0-9.]+')::DOUBLE = v
   AND regexp_matches(t, '[0-9]\s*(m|metres?|mtr|cm|centimetres?|mm|millimetres?|ft|feet)$') GROUP BY value_id),

@@ -81,7 +81,7 @@ def test_values_decide(spark, terms):
 
 
 def test_levels(spark):
-    rows = [(1, 347.0, "GWL=347centimetres"), (2, 3.0, "50 mm pipe"), (3, -8.3, "8.3feet bgl"), (4, 10.6, "see sheet 5, [ft] (collar 1 m up)"), (5, 5.0, None), (6, None, "5 cm"), (7, 46.0, "(level in Centimetres)"), (7, 46.0, "(level in Centimetres)"), (8, 50.0, "x" * 100_000)]
+    rows = [(1, 347.0, "GWL=347centimetres"), (2, 3.0, "50 mm pipe"), (3, -8.3, "8.3feet bgl"), (4, 10.6, "see sheet 5, [ft] (collar 1 m up)"), (5, 5.0, None), (6, None, "5 cm"), (7, 46.0, "(level in Centimetres)"), (7, 46.0, "(level in Centimetres)"), (8, 50.0, "x" * 100_000), (9, 5.0, "assumed, 5 cm cap"), (10, 1.0, "[ft] (collar 1 m up)"), (11, 100.0, "in mm, casing 100 mm")]
     v = spark.createDataFrame(rows, "value_id long, ground_water_level double, ground_water_level_note string")
-    assert {r["value_id"]: r["unit"] for r in U.level_units(spark, v).collect()} == {1: "cm", 2: "m", 3: "ft", 4: "ft", 5: "m", 7: "cm", 8: "m"}
+    assert {r["value_id"]: r["unit"] for r in U.level_units(spark, v).collect()} == {1: "cm", 2: "m", 3: "ft", 4: "ft", 5: "m", 7: "cm", 8: "m", 9: "m", 10: "ft", 11: "mm"}
     assert U.level_units(spark, v.limit(0)).count() == 0

@@ -341,3 +341,31 @@ def test_streams(spark, tmp_path):
         q.processAllAvailable()
         q.stop()
     assert spark.table("q2").count() == 2
+
+
+# ---------------------------------------------------------------- pipelines
+
+
+def test_pipelines(spark, tmp_path):
+    from stratakit.plans import pipelines
+
+    rec = tmp_path / "CPT_17"
+    rec.mkdir()
+    body = [f"{k * 10}.0,{k + 0.5},0.0{k},{k}.0" for k in range(1, 9)]
+    head = ["Ground water: 1.5 m measured,x", "Remarks,target depth reached", "Area ratio,0.8", "Depth (cm),qc (MPa),fs (MPa),u2 (kPa)"]
+    (rec / "CPT_17_a.csv").write_text("\n".join([*head, *body, "End of test,,,", "99.0,1.0,1.0,1.0"]))
+    (rec / "CPT_17_b.csv").write_text("\n".join([*head, *body[:6]]))
+    (rec / "CPT_17_c.xlsx").write_bytes(workbook([["Depth", "qc", "fs", "u2"], *[[k + 0.5, k + 0.25, 0.25, 0.5] for k in range(6)]]))
+    (rec / "CPT_17_d.ags").write_text(AGS)
+    (rec / "CPT_17_e.csv").write_text("word\nother")
+    out, failed = pipelines.soundings(spark, str(tmp_path))
+    rows = out.collect()
+    assert {(r["file_name"], r["sheet_name"], r["investigation_number"]) for r in rows} == {("CPT_17_a.csv", "0", 0), ("CPT_17_c.xlsx", "Sheet_1", 1), ("CPT_17_d.ags", "0", 2)}
+    a = sorted((r for r in rows if r["file_name"] == "CPT_17_a.csv"), key=lambda r: r["seq"])
+    assert len(a) == 8 and a[0]["depth"] == pytest.approx(0.1) and a[0]["u"] == pytest.approx(0.001) and "CPT_17_b.csv" in a[0]["removed_duplicates"]
+    assert {(r["file_name"], r["category"]) for r in failed.collect()} == {("CPT_17_e.csv", "no_data")}
+    got = {r["file_name"]: r for r in pipelines.scalars(spark, str(tmp_path)).collect()}["CPT_17_a.csv"]
+    assert (got["nzgd_id"], got["termination_reason"], got["ground_water_level"], got["gwl_method"], got["tip_net_area_ratio"]) == (17, "target_depth", 1.5, "measured", 0.8)
+    (rec / "BH_9_x.ags").write_text(BH)
+    assert pipelines.ags_boreholes(spark, str(tmp_path))[0].count() == 1
+    assert pipelines.box_boreholes(spark.createDataFrame(boxes(), "report string, page int, y0 double, y1 double, x0 double, x1 double, text string")).count() > 3
