@@ -97,9 +97,9 @@ def _word_refs(entries: DataFrame) -> DataFrame:
     """Words of the entries, whole and cut short, with the edits each may differ by and the letters it stands for."""
     words = entries.select("field", "entry_id", F.posexplode(F.split("plain", " ")).alias("w", "word")).where("word <> ''")
     n = F.length("word")
-    whole = F.when(n <= 3, 0).when(n <= 5, 1).when(n <= 7, 2).otherwise(3)
+    whole = F.when(n <= 3, 0).when(n <= 5, 1).when(n <= 6, 2).otherwise(3)
     cuts = F.when(n > SHORTEST_CUT, F.transform(F.sequence(F.lit(SHORTEST_CUT), n - 1), lambda i: F.struct(
-        F.substring(F.col("word"), F.lit(1), i).alias("form"), F.lit(1).alias("k"), F.lit(1).alias("loss")))
+        F.substring(F.col("word"), F.lit(1), i).alias("form"), F.when(i < 5, 1).otherwise(2).alias("k"), F.lit(1).alias("loss")))
     ).otherwise(F.array().cast("array<struct<form:string,k:int,loss:int>>"))
     forms = F.concat(F.array(F.struct(F.col("word").alias("form"), whole.alias("k"), F.lit(0).alias("loss"))), cuts)
     return words.select("field", "entry_id", "w", n.alias("letters"), F.explode(forms).alias("f")).select("field", "entry_id", "w", "letters", "f.*")
