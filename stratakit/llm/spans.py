@@ -171,10 +171,11 @@ def _class_id() -> Column:
 
 
 def class_links(places: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(x, y, left, right): classes of surroundings, x <= y, whose common run is long enough, and how far it reaches.
+    """Links (x, y, left, right) of classes of surroundings, and the stretches (key, x, left, low, high) of crowded passages.
 
-    ``x = y`` stands for a class by itself. Passages with more than ``FEW`` classes get links through shared stretches: a star
-    per stretch around its smallest class, each link with the reach of that stretch.
+    A link says that the common run of x <= y is long enough and how far it reaches; ``x = y`` stands for a class by itself.
+    Passages with more than ``FEW`` classes get stretches instead of links between classes: ``key`` is one stretch of the wanted
+    length, ``low`` and ``high`` are the least and the greatest record among all that carry it.
     """
     classes = places.groupBy("passage", "left", "around").agg(F.min("doc_id").alias("one"), F.max("doc_id").alias("two"))
     classes = cut(classes.withColumn("x", _class_id()).withColumn("several", F.col("one") != F.col("two")))
@@ -190,26 +191,25 @@ def class_links(places: DataFrame) -> tuple[DataFrame, DataFrame]:
     linked = linked.select("x", "y", "r.left", "r.right")
     many = classes.join(counts.where(f"n > {FEW}").select("passage"), "passage", "left_semi")
     starts = F.sequence(F.lit(0), F.length("around") - RUN)
-    stretch = many.where(F.length("around") >= RUN).select("passage", "x", "left", "around", F.explode(starts).alias("s"))
+    stretch = many.where(F.length("around") >= RUN).select("passage", "x", "left", "around", "one", "two", F.explode(starts).alias("s"))
     stretch = stretch.select(
-        "passage", "x", (F.col("left") - F.col("s")).alias("left"), F.substring(F.col("around"), F.col("s") + 1, F.lit(RUN)).alias("t")
+        "passage", "x", "one", "two", (F.col("left") - F.col("s")).alias("left"), F.substring(F.col("around"), F.col("s") + 1, F.lit(RUN)).alias("t")
     ).where(f"left between 0 and {RUN - PASSAGE}")
-    hub = stretch.withColumn("key", F.xxhash64("passage", "left", "t")).select("passage", "key", "x", "left")
-    least = Window.partitionBy("passage", "key")
-    stars = hub.withColumn("hub", F.min("x").over(least)).where("x <> hub")
-    stars = stars.select(F.col("hub").alias("x"), F.col("x").alias("y"), "left", (F.lit(RUN - PASSAGE) - F.col("left")).alias("right"))
-    return alone.unionByName(linked).unionByName(stars), hub
+    keyed = stretch.withColumn("key", F.xxhash64("passage", "left", "t")).select("key", "x", "left", "one", "two")
+    carriers = keyed.groupBy("key").agg(F.min("one").alias("low"), F.max("two").alias("high"))
+    stretches = keyed.select("key", "x", "left").join(carriers.where("low <> high"), "key")
+    return alone.unionByName(linked), stretches
 
 
 def sharing_pairs(places: DataFrame) -> DataFrame:
     """(doc_id_a, doc_id_b), a < b: every pair of records with a common run of at least ``RUN`` characters."""
-    links, hub = class_links(places)
+    links, stretches = class_links(places)
     members = places.select(_class_id().alias("x"), "doc_id").distinct()
     a = members.withColumnRenamed("doc_id", "p")
     b = members.select(F.col("x").alias("y"), F.col("doc_id").alias("q"))
     direct = links.select("x", "y").distinct().join(a, "x").join(b, "y").select("p", "q")
     # passages with many classes: records that carry the same stretch
-    carried = hub.select("key", "x").join(a, "x").select("key", "p").distinct()
+    carried = stretches.select("key", "x").join(a, "x").select("key", "p").distinct()
     again = carried.select("key", F.col("p").alias("q"))
     shared = carried.join(again, "key").where("p < q").select("p", "q")
     both = direct.unionByName(shared).where("p <> q")
@@ -221,11 +221,15 @@ def shared_cover(documents: DataFrame, places: DataFrame) -> DataFrame:
 
     Every record comes out; a null text has length 0. A run that only the record itself repeats does not count.
     """
-    links, _ = class_links(places)
+    links, stretches = class_links(places)
     both = links.select("x", "y", "left", "right").unionByName(links.select(F.col("y").alias("x"), F.col("x").alias("y"), "left", "right"))
     owners = places.select(_class_id().alias("x"), "doc_id").distinct().groupBy("x").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
     partner = both.distinct().join(owners.select(F.col("x").alias("y"), "low", "high"), "y")
     here = places.select(_class_id().alias("x"), "doc_id", "pos").join(partner, "x").where("low <> doc_id or high <> doc_id")
+    # a stretch of two records or more counts at each of its places; those of a class all hold the passage, so their union is one run
+    reach = stretches.groupBy("x").agg(F.max("left").alias("left"), (F.lit(RUN - PASSAGE) - F.min("left")).alias("right"))
+    crowded = places.select(_class_id().alias("x"), "doc_id", "pos").join(reach, "x")
+    here = here.select("doc_id", "pos", "left", "right").unionByName(crowded.select("doc_id", "pos", "left", "right"))
     spans = here.select("doc_id", (F.col("pos") - F.col("left")).alias("s"), (F.col("pos") + PASSAGE + F.col("right")).alias("e")).distinct()
     order = Window.partitionBy("doc_id").orderBy("s", "e")
     ahead = spans.withColumn("done", F.coalesce(F.max("e").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))

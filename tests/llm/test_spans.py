@@ -71,6 +71,19 @@ def test_boilerplate_shorter_than_a_run_links_nothing(spark):
     assert pairs == set() and set(cover.values()) == {0}
 
 
+def test_one_record_repeats_a_run_in_many_surroundings(spark):
+    rng = random.Random(3)
+    word = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    docs = [(1, word(400))]
+    for i in range(10, 60, 10):
+        footer, own = word(200), word(200)
+        docs += [(i, "".join(word(150) + footer + word(150) + own for _ in range(40))), (i + 1, word(150) + footer + word(150))]
+    pairs, cover = run(spark, docs)
+    assert pairs == {(i, i + 1) for i in range(10, 60, 10)}
+    assert cover == brute(docs)[1]
+    assert cover[10] >= 40 * 200 and cover[11] >= 200 and cover[1] == 0
+
+
 def test_nothing(spark):
     assert run(spark, []) == (set(), {})
 
