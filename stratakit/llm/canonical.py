@@ -6,8 +6,8 @@ unchanged in the value, shifted by k positions at most. So values and references
 
 Two rounds use that join. The first matches the words of a value with the words of the entries, whole or cut short, and takes
 the entry whose letters are covered best; it does not care about word order, fillers or separators. The second takes what the
-first leaves open and compares run-together letters with each entry in several word orders and with one word left
-out. What neither matches is reported by an anti-join as entry 0.
+first leaves open and compares run-together letters with each entry in every word order and with one word left out; entries
+of more than ``ALL_ORDERS`` words only as rotations, reversed and with the ends swapped. What neither matches is reported by an anti-join as entry 0.
 
 Edge cases: a null value gives no row; an empty or blank value means no entry; a value spelled exactly as an entry of its field
 gives no row; a value of any length is split whole, and only words too long for any entry are skipped; ties go to the fewest
@@ -25,6 +25,8 @@ from stratakit.session import broadcast_if_small, cut, salted_join
 COVERED, ALIKE = 0.5, 0.66
 #: Shortest word that may be cut short, and most edits in run-together letters.
 SHORTEST_CUT, MOST_EDITS = 4, 7
+#: Most words of an entry whose run-together letters are formed in every order.
+ALL_ORDERS = 5
 
 #: Letters with marks and their plain forms.
 _MARKED, _PLAIN = "àáâãäåāçèéêëēìíîïīñòóôõöōùúûüūýÿ", "aaaaaaaceeeeeiiiiinoooooouuuuuyy"
@@ -105,14 +107,24 @@ def _word_refs(entries: DataFrame) -> DataFrame:
     return words.select("field", "entry_id", "w", n.alias("letters"), F.explode(forms).alias("f")).select("field", "entry_id", "w", "letters", "f.*")
 
 
+def _permutations(words: Column) -> Column:
+    """Every order of an array of words: each word in turn is put at every place of the orders so far."""
+    none = F.array(F.array().cast("array<string>"))
+    put = lambda order, w: F.transform(
+        F.sequence(F.lit(0), F.size(order)), lambda i: F.concat(F.slice(order, F.lit(1), i), F.array(w), F.slice(order, i + 1, F.size(order) + 1))
+    )
+    return F.aggregate(words, none, lambda orders, w: F.flatten(F.transform(orders, lambda order: put(order, w))))
+
+
 def _letter_refs(entries: DataFrame) -> DataFrame:
-    """Entries as run-together letters: every rotation, reversed, ends swapped, each also with one word left out."""
+    """Entries as run-together letters in every order, each also with one word left out; long ones in the orders named above."""
     words = F.filter(F.split("plain", " "), lambda w: w != "")
     size = F.size("words")
     rotations = F.transform(F.sequence(F.lit(0), size - 1), lambda i: F.concat(
         F.slice("words", i + 1, size), F.when(i > 0, F.slice("words", F.lit(1), i)).otherwise(F.array().cast("array<string>"))))
     swapped = F.when(size > 2, F.concat(F.slice("words", size, F.lit(1)), F.slice("words", F.lit(2), size - 2), F.slice("words", F.lit(1), F.lit(1)))).otherwise(F.col("words"))
-    orders = F.concat(rotations, F.array(F.reverse(F.col("words")), swapped))
+    some = F.concat(rotations, F.array(F.reverse(F.col("words")), swapped))
+    orders = F.when(size <= ALL_ORDERS, _permutations(F.col("words"))).otherwise(some)
     full = entries.withColumn("words", words).where("size(words) > 0").select("field", "entry_id", F.explode(F.array_distinct(orders)).alias("words"))
     short = full.where("size(words) > 2").select("field", "entry_id", F.explode(F.transform(
         F.sequence(F.lit(0), F.size("words") - 1), lambda i: F.filter("words", lambda w, j: j != i))).alias("words"))

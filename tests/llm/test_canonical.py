@@ -23,6 +23,15 @@ def test_spellings(spark):
     }
 
 
+def test_run_together_words_in_every_order(spark):
+    from itertools import permutations
+
+    ref = [(1, "r", "Target depth reached"), (2, "r", "Cone refusal on gravel"), (3, "r", "Obstruction encountered")]
+    meant = [(i, "".join(p)) for i, _, entry in ref for p in permutations(entry.split())]
+    got = run(spark, [(n, "r", v) for n, (_, v) in enumerate(meant)], ref)
+    assert got == {(n, "r"): i for n, (i, _) in enumerate(meant)} and len(got) == 6 + 24 + 2
+
+
 def test_nothing(spark):
     assert run(spark, []) == {}
     assert run(spark, [(1, "r", "Target depth reached")], []) == {(1, "r"): 0}
