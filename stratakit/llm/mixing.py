@@ -6,7 +6,7 @@ records by finish time interleaves the sources in proportion, and cutting at the
 of its share. A pass is a use, so no record is used more often than the source allows.
 
 Without a given budget it is the largest at which no source runs dry: the least, over the sources that have tokens, of tokens
-times uses over weight. Sources without tokens cannot contribute: their weight is shared out in proportion and the
+times uses over weight. The scarcest source so bounds the whole mixture; ``shares`` names it and the text it keeps out. Sources without tokens cannot contribute: their weight is shared out in proportion and the
 report says so.
 
 Edge cases: records with a null source, a source without target, or no tokens are left out; a target that is null or not above
@@ -67,14 +67,24 @@ def mix(records: DataFrame, targets: DataFrame, budget: float | None = None, see
     return used.select("doc_id", "source", "use", "tokens", finish.alias("finish")).orderBy("finish", "source", "doc_id", "use")
 
 
-def shares(mixed: DataFrame, targets: DataFrame, records: DataFrame) -> DataFrame:
-    """Per target source the target and actual share, tokens, records and uses in the mixture, and what kept it from its share."""
+def shares(mixed: DataFrame, targets: DataFrame, records: DataFrame, budget: float | None = None) -> DataFrame:
+    """Per target source the target and actual share, tokens, records and uses in the mixture, and what kept it from its share.
+
+    ``budget`` is that of the mixture. ``supply`` and ``unused_tokens`` count a source's text once: all of it, and what no use
+    has taken. ``limits_budget`` marks the sources that run dry first and so set the default budget.
+    """
     total = mixed.agg(F.sum("tokens")).head()[0]
-    per = mixed.groupBy("source").agg(F.sum("tokens").alias("tokens"), F.count("*").alias("records"), F.max("use").alias("most_uses"))
-    supply = supplies(records.where("source is not null"), targets)
+    per = mixed.groupBy("source").agg(
+        F.sum("tokens").alias("tokens"), F.count("*").alias("records"), F.max("use").alias("most_uses"), F.sum(F.when(F.col("use") == 1, F.col("tokens"))).alias("taken")
+    )
+    supply = cut(supplies(records.where("source is not null"), targets))
+    full = full_budget(supply)
+    limits = F.coalesce(F.col("supply") * F.col("uses") / F.col("weight") <= F.lit(full), F.lit(False)) if budget is None else F.lit(False)
     out = supply.join(per, "source", "left")
     return out.select(
         "source", "target_share", (F.coalesce("tokens", F.lit(0)) / F.lit(total)).alias("actual_share"), F.coalesce("tokens", F.lit(0)).alias("tokens"),
         F.coalesce("records", F.lit(0)).alias("records"), F.coalesce("most_uses", F.lit(0)).alias("most_uses"), F.col("uses").alias("uses_allowed"),
-        F.when(F.col("weight").isNull(), "no tokens in this source").alias("remark"),
+        F.coalesce("supply", F.lit(0)).alias("supply"), (F.coalesce("supply", F.lit(0)) - F.coalesce("taken", F.lit(0))).alias("unused_tokens"),
+        F.lit(full if budget is None else float(budget)).alias("budget"), limits.alias("limits_budget"),
+        F.when(F.col("weight").isNull(), "no tokens in this source").when(limits, "runs dry first and limits the budget").alias("remark"),
     )

@@ -85,6 +85,18 @@ def test_mix(spark):
     assert mixing.mix(docs, targets.limit(0)).count() == 0
 
 
+def test_shares_name_what_limits_the_mixture(spark):
+    docs = spark.createDataFrame([(i, "big", 10) for i in range(200)] + [(900 + i, "small", 10) for i in range(3)], "doc_id long, source string, tokens long")
+    targets = spark.createDataFrame([("big", 0.75, 1), ("small", 0.25, 2), ("none", 0.1, 1)], "source string, target_share double, max_repeats int")
+    said = {r["source"]: r for r in mixing.shares(mixing.mix(docs, targets), targets, docs).collect()}
+    assert {r["budget"] for r in said.values()} == {240.0}
+    assert {s for s, r in said.items() if r["limits_budget"]} == {"small"}
+    assert {s: (r["supply"], r["unused_tokens"]) for s, r in said.items()} == {"big": (2000, 1820), "small": (30, 0), "none": (0, 0)}
+    given = {r["source"]: r for r in mixing.shares(mixing.mix(docs, targets, budget=80.0), targets, docs, 80.0).collect()}
+    assert {r["budget"] for r in given.values()} == {80.0} and not any(r["limits_budget"] for r in given.values())
+    assert given["small"]["unused_tokens"] == 10 and given["big"]["unused_tokens"] == 1940
+
+
 def test_stretches_do_not_change_the_order(spark, monkeypatch):
     docs = spark.createDataFrame([(i, "a" if i % 3 else "b", 1 + i % 7) for i in range(500)], "doc_id long, source string, tokens long")
     targets = spark.createDataFrame([("a", 0.5, 1), ("b", 0.5, 3)], "source string, target_share double, max_repeats int")
