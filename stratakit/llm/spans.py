@@ -89,14 +89,17 @@ def marks(text: str, passage: int = PASSAGE, run: int = RUN) -> tuple[np.ndarray
 
 def _mark_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        ids, found = pdf["doc_id"].to_numpy(), [marks(t) for t in pdf["text"]]
+        found = [marks(t) for t in pdf["text"]]
         if found:
             h, at = (np.concatenate(part) for part in zip(*found))
-            yield pd.DataFrame({"doc_id": np.repeat(ids, [len(x) for x, _ in found]), "h": h, "pos": at})
+            ids, version = (np.repeat(pdf[c].to_numpy(), [len(x) for x, _ in found]) for c in ("doc_id", "version"))
+            yield pd.DataFrame({"doc_id": ids, "version": version, "h": h, "pos": at})
 
 
 def _texts(documents: DataFrame) -> DataFrame:
-    return documents.where((F.col("doc_id").isNotNull()) & (F.length("text") >= RUN)).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    """(doc_id, version, text) of the texts long enough; ``version`` tells the texts of one id apart."""
+    long = documents.where((F.col("doc_id").isNotNull()) & (F.length("text") >= RUN))
+    return long.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("version"), "text")
 
 
 def occurrences(documents: DataFrame) -> DataFrame:
@@ -105,15 +108,15 @@ def occurrences(documents: DataFrame) -> DataFrame:
     ``pos`` counts from 0; ``left`` characters of ``around`` come before the passage.
     """
     texts = _texts(documents)
-    found = cut(texts.mapInPandas(_mark_batches, "doc_id long, h long, pos long"))
+    found = cut(texts.mapInPandas(_mark_batches, "doc_id long, version long, h long, pos long"))
     recurring = found.groupBy("h").agg(
-        F.min("doc_id").alias("doc_id"), F.max("doc_id").alias("other"), F.min_by("pos", F.struct("doc_id", "pos")).alias("pos")
+        F.max("doc_id").alias("other"), F.min(F.struct("doc_id", "pos", "version")).alias("first")
     )
-    recurring = cut(recurring.where("doc_id <> other").drop("other"))
+    recurring = cut(recurring.select("h", "first.*", "other").where("doc_id <> other").drop("other"))
     shards = max(1, -(-recurring.count() // SHARD))
     shard = F.pmod("h", F.lit(shards)).cast("int")
-    # the text of a passage, from the first record that carries it
-    lines = recurring.join(texts, "doc_id").select("h", F.expr(f"substring(text, cast(pos as int) + 1, {PASSAGE})").alias("passage"))
+    # the text of a passage, from the first record that carries it, and there from the text that was marked
+    lines = recurring.join(texts, ["doc_id", "version"]).select("h", F.expr(f"substring(text, cast(pos as int) + 1, {PASSAGE})").alias("passage"))
     lines = lines.groupBy("h").agg(F.min("passage").alias("passage")).withColumn("shard", shard)
     carriers = found.join(recurring.select("h"), "h", "left_semi").select("doc_id", shard.alias("shard")).distinct()
     load = texts.join(carriers, "doc_id")

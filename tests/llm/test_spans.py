@@ -84,6 +84,15 @@ def test_one_record_repeats_a_run_in_many_surroundings(spark):
     assert cover[10] >= 40 * 200 and cover[11] >= 200 and cover[1] == 0
 
 
+def test_passages_come_from_the_text_that_was_marked(spark):
+    """Record 1 has a second text whose characters at the passage's place sort before it."""
+    rng = random.Random(9)
+    word = lambda n, letters: "".join(rng.choice(letters) for _ in range(n))
+    common = word(260, "abcdefgh ")
+    docs = [(1, word(90, "abcdefgh ") + common), (1, word(400, "!#$%&")), (2, common + word(50, "abcdefgh ")), (3, word(20, "abcdefgh ") + common)]
+    assert run(spark, docs)[0] == {(1, 2), (1, 3), (2, 3)}
+
+
 def test_nothing(spark):
     assert run(spark, []) == (set(), {})
 
