@@ -3,11 +3,14 @@
 1. Every text is winnowed: of each run of 137 consecutive 64-character windows the one with the least hash is marked. Two texts
    with a common run of 200 characters mark the same window inside it. Marks found in two texts or more are the recurring
    passages.
-2. The passages are compiled into sharded Aho-Corasick automata of bounded size. Every text that carries a mark of a shard is
-   streamed through that shard's automaton, which locates every occurrence; a text without any mark has no long run.
+2. The passages are compiled into sharded Aho-Corasick automata of bounded size. Texts are cut into overlapping pieces, and every
+   piece that carries a mark of a shard is streamed through that shard's automaton, which locates every occurrence; every place
+   of a long run holds a mark, so what carries none has no long run. A text costs what its marked pieces cost, however many
+   shards there are, and a very long text is spread over many blocks.
 3. An occurrence keeps its surroundings, as far as a run of the wanted length can reach. Equal surroundings are one
    class. Classes of a passage are compared in pairs while they are few; for a passage with many classes, every stretch of the
-   wanted length around it becomes a join key instead, so no group is ever paired out to find what does not match.
+   wanted length around it becomes a join key instead, so no group is ever paired out to find what does not match. Both ways
+   are exact and give the same rows; ``FEW`` only chooses the cheaper one.
 
 Edge cases: null, empty and shorter texts take part in nothing; characters are code points; repeats inside one text are no case;
 rows with equal ids are one record whose texts are looked at apart; null ids are ignored.
@@ -27,8 +30,9 @@ from pyspark.sql.window import Window
 from stratakit.session import broadcast_if_small, cut
 
 PASSAGE, RUN = 64, 200
-#: Passages per automaton, characters of text per block, and classes of a passage that are still compared in pairs.
-SHARD, BLOCK_CHARS, FEW = 20_000, 8_000_000, 32
+#: Passages per automaton, characters of text per block, places per piece of a text, and classes of a passage that are still
+#: compared in pairs.
+SHARD, BLOCK_CHARS, PIECE, FEW = 20_000, 8_000_000, 1024, 32
 
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -73,8 +77,8 @@ def _sliding_min(h: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(m[: len(m) - rest], m[rest:]) if rest else m
 
 
-def marks(text: str, passage: int = PASSAGE, run: int = RUN) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes, first positions) of the windows that winnowing marks, each hash once."""
+def marks(text: str, passage: int = PASSAGE, run: int = RUN, piece: int = PIECE) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, positions) of the windows that winnowing marks; of equal hashes in one piece of the text only the first."""
     h = window_hashes(code_points(text), passage)
     width = run - passage + 1
     if len(h) < width:
@@ -83,8 +87,12 @@ def marks(text: str, passage: int = PASSAGE, run: int = RUN) -> tuple[np.ndarray
     border = np.zeros(width - 1, np.uint64)
     reached = ~_sliding_min(~np.concatenate([border, low, border]), width)
     at = np.flatnonzero(h <= reached)
-    values, first = np.unique(h[at].view(np.int64), return_index=True)
-    return values, at[first]
+    values = h[at].view(np.int64)
+    order = np.lexsort((at, values, at // piece))
+    at, values = at[order], values[order]
+    fresh = np.ones(len(at), bool)
+    fresh[1:] = (values[1:] != values[:-1]) | (at[1:] // piece != at[:-1] // piece)
+    return values[fresh], at[fresh]
 
 
 def _mark_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -102,10 +110,30 @@ def _texts(documents: DataFrame) -> DataFrame:
     return long.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("version"), "text")
 
 
+def _pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The pieces of each text that a shard must see, with the surroundings that runs at their borders can reach."""
+    side = RUN - PASSAGE
+    names = ["shard", "doc_id", "start", "skip", "text"]
+    for pdf in batches:
+        out, size = [], 0
+        for i, text, wanted in zip(pdf["doc_id"], pdf["text"], pdf["wanted"]):
+            for w in wanted:
+                start = w["piece"] * PIECE
+                low = max(0, start - side)
+                out.append((w["shard"], i, start, start - low, text[low : start + PIECE + PASSAGE - 1 + side]))
+                size += 1
+                if size == 4000:
+                    yield pd.DataFrame(out, columns=names)
+                    out, size = [], 0
+        if out:
+            yield pd.DataFrame(out, columns=names)
+
+
 def occurrences(documents: DataFrame) -> DataFrame:
-    """(doc_id, passage, pos, left, around): every place of every recurring passage with its surroundings.
+    """(doc_id, passage, left, around, positions): every recurring passage in every text with its surroundings.
 
-    ``pos`` counts from 0; ``left`` characters of ``around`` come before the passage.
+    ``positions`` count from 0 and are all those in one piece of the text with the same surroundings; ``left`` characters of
+    ``around`` come before the passage.
     """
     texts = _texts(documents)
     found = cut(texts.mapInPandas(_mark_batches, "doc_id long, version long, h long, pos long"))
@@ -118,19 +146,21 @@ def occurrences(documents: DataFrame) -> DataFrame:
     # the text of a passage, from the first record that carries it, and there from the text that was marked
     lines = recurring.join(texts, ["doc_id", "version"]).select("h", F.expr(f"substring(text, cast(pos as int) + 1, {PASSAGE})").alias("passage"))
     lines = lines.groupBy("h").agg(F.min("passage").alias("passage")).withColumn("shard", shard)
-    carriers = found.join(recurring.select("h"), "h", "left_semi").select("doc_id", shard.alias("shard")).distinct()
-    load = texts.join(carriers, "doc_id")
-    sizes = load.groupBy("shard").agg(F.ceil(F.sum(F.length("text")) / BLOCK_CHARS).cast("int").alias("blocks"))
+    asked = found.join(recurring.select("h"), "h", "left_semi").select("doc_id", "version", shard.alias("shard"), F.floor(F.col("pos") / PIECE).alias("piece"))
+    asked = cut(asked.distinct())
+    sizes = asked.groupBy("shard").agg(F.ceil(F.count("*") * (PIECE + 2 * RUN) / BLOCK_CHARS).cast("int").alias("blocks"))
     sizes = broadcast_if_small(cut(sizes))  # one row per shard
-    placed = load.join(sizes, "shard").select("shard", F.pmod(F.xxhash64("doc_id"), "blocks").cast("int").alias("block"), "doc_id", "text")
+    carriers = asked.groupBy("doc_id", "version").agg(F.collect_list(F.struct("shard", "piece")).alias("wanted"))
+    load = texts.join(carriers, ["doc_id", "version"]).select("doc_id", "text", "wanted")
+    load = load.mapInPandas(_pieces, "shard int, doc_id long, start long, skip int, text string")
+    placed = load.join(sizes, "shard").withColumn("block", F.pmod(F.xxhash64("doc_id", "start"), "blocks").cast("int")).drop("blocks")
     copies = lines.join(sizes, "shard").select("shard", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "h", "passage")
-    out = placed.groupBy("shard", "block").cogroup(copies.groupBy("shard", "block")).applyInPandas(
-        _locate, "doc_id long, passage long, pos long, left int, around string"
+    return placed.groupBy("shard", "block").cogroup(copies.groupBy("shard", "block")).applyInPandas(
+        _locate, "doc_id long, passage long, left int, around string, positions array<long>"
     )
-    return out.distinct()
 
 
-def _locate(texts: pd.DataFrame, passages: pd.DataFrame) -> pd.DataFrame:
+def _locate(pieces: pd.DataFrame, passages: pd.DataFrame) -> pd.DataFrame:
     import ahocorasick
 
     automaton = ahocorasick.Automaton()
@@ -140,12 +170,15 @@ def _locate(texts: pd.DataFrame, passages: pd.DataFrame) -> pd.DataFrame:
     side = RUN - PASSAGE
     if len(passages):
         automaton.make_automaton()
-        for i, text in zip(texts["doc_id"], texts["text"]):
+        for i, begin, skip, text in zip(pieces["doc_id"], pieces["start"], pieces["skip"], pieces["text"]):
+            alike: dict[tuple[int, int, str], list[int]] = {}
             for end, h in automaton.iter(text):
                 at = end - PASSAGE + 1
-                start = max(0, at - side)
-                out.append((i, h, at, at - start, text[start : end + 1 + side]))
-    return pd.DataFrame(out, columns=["doc_id", "passage", "pos", "left", "around"])
+                if skip <= at < skip + PIECE:
+                    start = max(0, at - side)
+                    alike.setdefault((h, at - start, text[start : end + 1 + side]), []).append(begin - skip + at)
+            out += [(i, *key, where) for key, where in alike.items()]
+    return pd.DataFrame(out, columns=["doc_id", "passage", "left", "around", "positions"])
 
 
 _REACH = T.StructType([T.StructField("left", T.IntegerType()), T.StructField("right", T.IntegerType())])
@@ -228,11 +261,12 @@ def shared_cover(documents: DataFrame, places: DataFrame) -> DataFrame:
     both = links.select("x", "y", "left", "right").unionByName(links.select(F.col("y").alias("x"), F.col("x").alias("y"), "left", "right"))
     owners = places.select(_class_id().alias("x"), "doc_id").distinct().groupBy("x").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
     partner = both.distinct().join(owners.select(F.col("x").alias("y"), "low", "high"), "y")
-    here = places.select(_class_id().alias("x"), "doc_id", "pos").join(partner, "x").where("low <> doc_id or high <> doc_id")
+    at = places.select(_class_id().alias("x"), "doc_id", "positions")
+    here = at.join(partner, "x").where("low <> doc_id or high <> doc_id")
     # a stretch of two records or more counts at each of its places; those of a class all hold the passage, so their union is one run
     reach = stretches.groupBy("x").agg(F.max("left").alias("left"), (F.lit(RUN - PASSAGE) - F.min("left")).alias("right"))
-    crowded = places.select(_class_id().alias("x"), "doc_id", "pos").join(reach, "x")
-    here = here.select("doc_id", "pos", "left", "right").unionByName(crowded.select("doc_id", "pos", "left", "right"))
+    here = here.select("doc_id", "positions", "left", "right").unionByName(at.join(reach, "x").select("doc_id", "positions", "left", "right"))
+    here = here.select("doc_id", F.explode("positions").alias("pos"), "left", "right")
     spans = here.select("doc_id", (F.col("pos") - F.col("left")).alias("s"), (F.col("pos") + PASSAGE + F.col("right")).alias("e")).distinct()
     order = Window.partitionBy("doc_id").orderBy("s", "e")
     ahead = spans.withColumn("done", F.coalesce(F.max("e").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -53,15 +54,30 @@ def test_equals_brute_force(spark):
     assert pairs == want_pairs and cover == want_cover
 
 
-def test_many_classes_take_the_other_route(spark, monkeypatch):
+@pytest.mark.parametrize("few", [1, 1000])
+def test_both_routes_and_small_pieces_give_the_same(spark, monkeypatch, few):
     docs = corpus()
-    monkeypatch.setattr(S, "FEW", 1)
+    monkeypatch.setattr(S, "FEW", few)
     pairs, cover = run(spark, docs)
     want_pairs, want_cover = brute(docs)
     assert pairs == want_pairs
     assert cover == want_cover
 
 
+@pytest.mark.parametrize("few", [1, 32, 1000])
+def test_a_passage_twenty_times_in_one_text_and_once_in_fifteen_others(spark, monkeypatch, few):
+    monkeypatch.setattr(S, "FEW", few)
+    monkeypatch.setattr(S, "SHARD", 5)
+    rng = random.Random(12)
+    word = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    run_ = word(230)
+    docs = [(1, "".join(word(160) + run_ for _ in range(20)) + word(160))]
+    docs += [(k, word(150) + run_ + word(150)) for k in range(2, 17)] + [(20, "q" * 5000), (21, "q" * 3000), (22, word(3000))]
+    pairs, cover = run(spark, docs)
+    want_pairs, want_cover = brute(docs)
+    assert pairs == want_pairs and cover == want_cover and cover[1] >= 20 * 230
+
+
 def test_boilerplate_shorter_than_a_run_links_nothing(spark):
     rng = random.Random(1)
     word = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
