@@ -1,17 +1,21 @@
 """Near-duplicate records by Golay-code fuzzy hashing.
 
-A record is the set of its rows. Its fingerprint has ``SEGMENTS`` segments of 23 bits; bit k of a segment is one bit of
-the k-th minimum hash over the rows, so that two records with similarity J differ in about (1-J)/2 of the bits. Each
-segment is decoded to the nearby Golay codeword indices, several keys each. By pigeonhole some segment of a similar pair
-has at most two errors when the pair has few errors per segment, and then shares a key for certain; with more errors it
-shares one with probability 0.43 (J = 0.6), 0.60 (0.7) or 0.81 (0.8) per segment, measured over random words.
+A record is the set of its rows. Its fingerprint has ``SEGMENTS`` segments. A segment holds 23 bits, bit k of which is one bit of
+the k-th minimum hash over the rows, so that two records with similarity J differ in about (1-J)/2 of them, and an *anchor*, one
+more minimum hash, which similar records share with probability J. The 23 bits are decoded to the nearby Golay codeword
+indices, several keys each; a key is segment, anchor and index.
 
-Twelve bits alone cannot tell billions of records apart, so the segment's key is qualified by the segment's anchor, one more
-minimum hash of the same rows, which similar records share with probability J. Over ``SEGMENTS`` = 20 segments a pair is missed
-with probability 0.003 (J = 0.6), 0.0002 (0.65), under 0.00002 (0.7 and up). Candidates are verified with exact row counts.
+What the code contributes. Words at most two bits apart share an index for certain, but at J = 0.6 a segment has 4.6 errors on average,
+too many for any pigeonhole over 23-bit segments; it then shares an index with probability 0.43 (0.60 at 0.7, 0.81 at 0.8). An index
+alone has twelve bits: two unrelated words share one with probability 0.007, so candidates would grow with the square of the
+records. The anchor therefore carries the selection, and the indices prune what it lets meet. Over 20 segments a pair is missed with
+probability 0.003 (J = 0.6), 0.0002 (0.65), under 0.00002 (0.7 and up). Candidates are verified with exact row counts.
 
 Scale: records with equal row sets are one class before any key is made. A record with very many rows (``hot``) is reduced to
-partial minima where its rows are read and never gathered. Keys are joined, never grouped into lists.
+partial minima where its rows are read and never gathered. Keys are joined, never grouped into lists. A key that more than ``CROWD``
+classes share (a row that very many records have as their minimum) is not paired out: its members meet again under that key
+together with each of their other anchors. A similar pair shares none of these with probability 0.4^19 or less at J = 0.6. Only
+classes that have two minima of 20 in common, and so are likely to be similar, are then paired whatever their number.
 
 Edge cases: rows compare null-safe, 0.0 equals -0.0 and NaN equals NaN; repeated rows count once; a record without rows is
 no record; rows with a null record id are ignored; extra columns are ignored.
@@ -26,6 +30,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from stratakit.llm import golay
 from stratakit.session import broadcast_if_small, cut
@@ -38,6 +43,8 @@ _FUNCTIONS = SEGMENTS * (golay.LENGTH + 1)
 _RNG = np.random.default_rng(20_240_229)
 _FACTORS = _RNG.integers(0, 1 << 31, _FUNCTIONS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _OFFSETS = _RNG.integers(0, 1 << 32, _FUNCTIONS, dtype=np.uint32)
+#: Classes that share a key and are still paired directly; larger groups are refined by a further anchor.
+CROWD = 200
 #: Rows hashed at a time; bounds the working memory of a task.
 _STEP = 4096
 
@@ -184,11 +191,25 @@ def classes_of(prints: DataFrame) -> DataFrame:
 def candidates(prints: DataFrame, threshold: float) -> DataFrame:
     """Distinct pairs (a, b), a < b, of class representatives that share a key and whose sizes allow the threshold."""
     reps = prints.groupBy("n", "x1", "x2").agg(F.min_by("keys", "id").alias("keys"), F.min("id").alias("rep"))
-    keyed = reps.select("rep", "n", F.explode("keys").alias("key"))
-    a, b = keyed.alias("a"), keyed.alias("b")
+    together = Window.partitionBy("key")
+    met = reps.select("rep", "n", F.explode("keys").alias("key")).withColumn("members", F.count("*").over(together))
+    met = cut(met.where("members > 1"))
+    few, crowded = met.where(F.col("members") <= CROWD), met.where(F.col("members") > CROWD)
+    if crowded.isEmpty():
+        return _pairs_of(few, threshold).distinct()
+    # the anchors of a record are in its keys, each with its segment: both without the codeword index
+    anchor = lambda key: F.shiftrightunsigned(key, golay.DATA_BITS)
+    anchors = reps.select("rep", F.array_distinct(F.transform("keys", anchor)).alias("anchors"))
+    again = crowded.select("rep", "n", "key").join(anchors, "rep").select("rep", "n", "key", F.explode("anchors").alias("anchor"))
+    again = again.where(F.col("anchor") != anchor(F.col("key"))).select("rep", "n", F.xxhash64("key", "anchor").alias("key"))
+    return _pairs_of(few, threshold).unionByName(_pairs_of(again, threshold)).distinct()
+
+
+def _pairs_of(met: DataFrame, threshold: float) -> DataFrame:
+    a, b = met.alias("a"), met.alias("b")
     size_fits = (F.col("a.n") >= F.col("b.n") * threshold) & (F.col("b.n") >= F.col("a.n") * threshold)
     pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.rep") < F.col("b.rep")) & size_fits)
-    return pairs.select(F.col("a.rep").alias("a"), F.col("b.rep").alias("b"), F.col("a.n").alias("na"), F.col("b.n").alias("nb")).distinct()
+    return pairs.select(F.col("a.rep").alias("a"), F.col("b.rep").alias("b"), F.col("a.n").alias("na"), F.col("b.n").alias("nb"))
 
 
 def verify(rows: DataFrame, record: str, columns: Sequence[str], pairs: DataFrame, threshold: float) -> DataFrame:

@@ -70,6 +70,23 @@ def test_hot_records_get_the_same_keys(spark, monkeypatch):
         assert cold[i][1:4] == hot[i][1:4] and list(cold[i]["keys"]) == list(hot[i]["keys"])
 
 
+def test_crowded_keys_are_refined(spark, monkeypatch):
+    """Records that share a few boilerplate rows meet under crowded keys; the similar pairs among them still come out."""
+    rng = np.random.default_rng(11)
+    common = list(rng.integers(0, 10**6, 40))
+    sets = [(k, common + list(rng.integers(10**7, 10**9, 40))) for k in range(40)]
+    sets += [(100 + k, s[:72]) for k, s in sets[:10]]
+    monkeypatch.setattr(N, "CROWD", 5)
+    rows = _rows(spark, sets)
+    prints = N.cut(N.fingerprints(rows, "rec", ["a", "b", "c"]))
+    refined = {(r["a"], r["b"]) for r in N.candidates(prints, 0.6).collect()}
+    monkeypatch.setattr(N, "CROWD", 10**9)
+    direct = {(r["a"], r["b"]) for r in N.candidates(prints, 0.6).collect()}
+    assert refined <= direct
+    want = {(k, 100 + k) for k in range(10)}
+    assert brute(sets, 0.6) == want and want <= refined
+
+
 def test_nothing(spark):
     membership, links = N.similar_classes(_rows(spark, []), "rec", ["a", "b", "c"], 0.6)
     assert membership.count() == 0 and links.count() == 0
