@@ -2,8 +2,9 @@
 
 Unit spellings are gathered from header cells and notes, reduced to the distinct ones, and mapped to known units through
 an inverted index of character bigrams with a weighted edit-distance check. The resulting alias dictionary is joined to
-all rows. For soundings the values have the last word: shares of readings beyond what the common unit allows decide
-between units that differ by orders of magnitude, and the spelled unit only where the values permit it.
+all rows. For soundings the spelled unit holds where the values permit it; the values have the last word: shares of
+readings beyond what a unit allows overrule a spelling that is off by orders of magnitude, and decide where none is spelled.
+The ``basis`` of every unit (header, values against the header, values, default) comes out beside it.
 
 Edge cases: a quantity without readings has no recorded unit; missing-reading codes are left out of the shares and
 become null on conversion; a null note is a note without units; a null level or ratio gives no unit.
@@ -61,6 +62,8 @@ def plain_spelling(text: Column) -> Column:
 
 # ---------------------------------------------------------------- the alias dictionary
 
+#: Least that one edit costs in the weighted distance.
+CHEAPEST_EDIT = 0.5
 
 def _weighted_distance(a: str, b: str) -> float:
     """Edit distance in which vowels, plural s and adjacent swaps are cheap and the first letter is dear."""
@@ -96,21 +99,25 @@ def alias_dictionary(spark: SparkSession, spellings: DataFrame) -> DataFrame:
 
     ``spellings``: one column ``spelling``. A spelling matches a known one when the weighted distance is at most a fifth of
     the known one's length beyond its third letter, so that short units must be exact. Ties go to the nearest, then
-    the alphabetically first unit.
+    the alphabetically first unit. An edit costs a half at least, so this bound limits the edits, and with them the lengths
+    and the bigrams (three an edit) by which a match may differ: the index loses none.
     """
     known = spark.createDataFrame([(u, s) for u, all_ in SPELLINGS.items() for s in all_], "unit string, known string")
-    index = known.select("unit", "known", F.explode(_bigrams(F.col("known"))).alias("gram"))
-    asked = spellings.where("spelling <> '' and length(spelling) <= 24").distinct()
+    bound = F.greatest(F.length("known") - 3, F.lit(0)) * 0.2
+    known = known.withColumn("bound", bound).withColumn("edits", F.floor(F.col("bound") / CHEAPEST_EDIT + 1e-9).cast("int"))
+    known = known.withColumn("grams", _bigrams(F.col("known"))).withColumn("least", F.size("grams") - 3 * F.col("edits"))
+    index = known.withColumn("gram", F.explode("grams")).drop("grams")
+    asked = spellings.where("spelling <> ''").distinct()
     hits = (
-        asked.select("spelling", F.explode(_bigrams(F.col("spelling"))).alias("gram"))
+        asked.where(F.length("spelling") <= max(len(k) + int((len(k) - 3) * 0.2 / CHEAPEST_EDIT) for all_ in SPELLINGS.values() for k in all_))
+        .select("spelling", F.explode(_bigrams(F.col("spelling"))).alias("gram"))
         .join(F.broadcast(index), "gram")
-        .groupBy("spelling", "unit", "known")
+        .where(F.abs(F.length("spelling") - F.length("known")) <= F.col("edits"))
+        .groupBy("spelling", "unit", "known", "bound", "least")
         .agg(F.count("*").alias("shared"))
-        .where(F.col("shared") * 3 >= F.length("known"))
-    )
-    near = hits.withColumn("far", weighted_distance("spelling", "known")).where(
-        F.col("far") <= F.greatest(F.length("known") - 3, F.lit(0)) * 0.2
+        .where("shared >= least")
     )
+    near = hits.withColumn("far", weighted_distance("spelling", "known")).where("far <= bound")
     return near.groupBy("spelling").agg(F.min_by("unit", F.struct("far", "unit")).alias("unit"))
 
 
@@ -154,7 +161,7 @@ def reading_shares(measurements: DataFrame) -> DataFrame:
 
 
 def sounding_units(spark: SparkSession, reports: DataFrame, measurements: DataFrame, headers: DataFrame, terms: DataFrame) -> DataFrame:
-    """(cpt_id, depth_unit, qc_unit, fs_unit, u_unit); a unit is null when the column has no readings."""
+    """(cpt_id, depth_unit, qc_unit, fs_unit, u_unit and a ``_basis`` of each); both are null when the column has no readings."""
     spelled = (
         header_units(spark, headers, terms)
         .groupBy("file_path")
@@ -163,21 +170,30 @@ def sounding_units(spark: SparkSession, reports: DataFrame, measurements: DataFr
     sheets = reports.where("cpt_id is not null").groupBy("cpt_id").agg(F.min("source_file").alias("file_path"))
     known = sheets.join(spelled, "file_path", "left")
     shares = reading_shares(measurements).join(known, "cpt_id", "left")
-    n = F.col("n_depth")
-    depth = (
-        F.when(F.col("depth_cm") >= n * SHARE_MM, "mm")
-        .when(F.col("depth_ft") >= n * SHARE, "cm")
-        .when(F.col("said_depth") == "ft", "ft")
-        .when(F.col("depth_m") >= n * SHARE, "ft")
-        .otherwise("m")
-    )
-    units = [F.when(n > 0, depth).alias("depth_unit")]
+    n, said = F.col("n_depth"), F.col("said_depth")
+    shown = F.when(F.col("depth_cm") >= n * SHARE_MM, "mm").when(F.col("depth_ft") >= n * SHARE, "cm").when(F.col("depth_m") >= n * SHARE, "ft").otherwise("m")
+    # metres and feet differ too little for the values to deny feet
+    out = _settled("depth", n, said, shown, (said == shown) | ((said == "ft") & (shown == "m")))
     for q in ("qc", "fs", "u"):
         said, n = F.col(f"said_{q}"), F.col(f"n_{q}")
-        unit = F.when(said.isin("bar", "tsf", "kgf_cm2") & (F.col(f"{q}_far") < n * SHARE), said)
-        unit = unit.when(F.col(f"{q}_mpa") >= n * SHARE, "kpa").otherwise("mpa")
-        units.append(F.when(n > 0, unit).alias(f"{q}_unit"))
-    return shares.select("cpt_id", *units)
+        shown = F.when(F.col(f"{q}_mpa") >= n * SHARE, "kpa").otherwise("mpa")
+        # bar, tsf and kgf/cm2 lie between: the values deny them only beyond ten times the limit in MPa
+        out += _settled(q, n, said, shown, (said == shown) | (said.isin("bar", "tsf", "kgf_cm2") & (F.col(f"{q}_far") < n * SHARE)))
+    return shares.select("cpt_id", *out)
+
+
+def _settled(q: str, n: Column, said: Column, shown: Column, permitted: Column) -> list[Column]:
+    """Unit and basis of a quantity from the spelled unit, the unit that the values show, and whether they permit the spelled one."""
+    holds = F.coalesce(permitted, F.lit(False))
+    own = F.when(shown.isin("m", "mpa"), "default").otherwise("values")
+    basis = F.when(holds, "header").when(said.isNotNull(), "values against the header").otherwise(own)
+    return [F.when(n > 0, F.when(holds, said).otherwise(shown)).alias(f"{q}_unit"), F.when(n > 0, basis).alias(f"{q}_basis")]
+
+
+def unit_basis(soundings: DataFrame) -> DataFrame:
+    """(quantity, recorded_unit, basis, n): how many soundings have each unit, and on what ground."""
+    each = F.array(*[F.struct(F.lit(q).alias("quantity"), F.col(f"{q}_unit").alias("recorded_unit"), F.col(f"{q}_basis").alias("basis")) for q in ("depth", "qc", "fs", "u")])
+    return soundings.select(F.inline(each)).where("recorded_unit is not null").groupBy("quantity", "recorded_unit", "basis").agg(F.count("*").alias("n"))
 
 
 def factor(unit: Column) -> Column:

@@ -172,6 +172,30 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return units.foreign_units(_sounding_units(spark, d), units.level_units(spark, values), units.ratio_units(values))
 
 
+_SAID_ALL = r"""
+every AS (SELECT file_path, quantity, CASE WHEN regexp_matches(h, '[^a-z](kpa|kn/m[2²]|kilopascals?)[^a-z]*$') THEN 'kpa'
+  WHEN regexp_matches(h, '[^a-z](mpa|mn/m[2²]|n/mm[2²]|megapascals?)[^a-z]*$') THEN 'mpa' WHEN regexp_matches(h, '[^a-z]bars?[^a-z]*$') THEN 'bar'
+  WHEN regexp_matches(h, '(tsf|ton/ft[2²]|tons/ft[2²]|t/ft[2²])[^a-z]*$') THEN 'tsf' WHEN regexp_matches(h, 'kgf?/cm\^?[2²][^a-z]*$') THEN 'kgf_cm2'
+  WHEN regexp_matches(h, '[^a-z](ft|feet|foot)[^a-z]*$') THEN 'ft' WHEN regexp_matches(h, '[^a-z](cm|centimet(re|er)s?)[^a-z]*$') THEN 'cm'
+  WHEN regexp_matches(h, '[^a-z](mm|millimet(re|er)s?)[^a-z]*$') THEN 'mm' WHEN regexp_matches(h, '[^a-z](m|met(re|er)s?|mtrs?)[^a-z]*$') THEN 'm' END AS unit FROM head),
+ask AS (SELECT s.*, q.quantity AS q, e.unit AS said FROM share s LEFT JOIN cpt USING (cpt_id)
+  CROSS JOIN (VALUES ('depth'), ('qc'), ('fs'), ('u')) q(quantity) LEFT JOIN every e ON e.file_path = source_file AND e.quantity = q.quantity),
+seen AS (SELECT q, said, CASE q WHEN 'depth' THEN n_depth WHEN 'qc' THEN n_qc WHEN 'fs' THEN n_fs ELSE n_u2 END AS n,
+  CASE q WHEN 'depth' THEN 0 WHEN 'qc' THEN qc_1 WHEN 'fs' THEN fs_1 ELSE u2_1 END AS far,
+  CASE WHEN q = 'depth' THEN CASE WHEN depth_2 >= 0.1 * n_depth THEN 'mm' WHEN depth_1 >= 0.5 * n_depth THEN 'cm' WHEN depth_0 >= 0.5 * n_depth THEN 'ft' ELSE 'm' END
+    WHEN (q = 'qc' AND qc_0 >= 0.5 * n_qc) OR (q = 'fs' AND fs_0 >= 0.5 * n_fs) OR (q = 'u' AND u2_0 >= 0.5 * n_u2) THEN 'kpa' ELSE 'mpa' END AS shown FROM ask),
+settled AS (SELECT *, coalesce(said = shown OR (said = 'ft' AND shown = 'm') OR (said IN ('bar', 'tsf', 'kgf_cm2') AND q <> 'depth' AND far < 0.5 * n), false) AS holds FROM seen WHERE n > 0)
+"""
+
+
+@registry.query(f"""WITH {_UNITS}, {_SAID_ALL}
+  SELECT q AS quantity, CASE WHEN holds THEN said ELSE shown END AS recorded_unit, CASE WHEN holds THEN 'header' WHEN said IS NOT NULL THEN 'values against the header'
+    WHEN shown IN ('m', 'mpa') THEN 'default' ELSE 'values' END AS basis, count(*) AS n FROM settled GROUP BY ALL""")
+def p3_basis(spark: SparkSession, d: str) -> DataFrame:
+    """How many soundings have each unit by header, by values, by values against the header, or by default."""
+    return units.unit_basis(_sounding_units(spark, d))
+
+
 @registry.query()
 def p3_measurements(spark: SparkSession, d: str) -> DataFrame:
     """Every measurement in m and MPa."""

@@ -80,6 +80,16 @@ def test_values_decide(spark, terms):
     assert U.sounding_units(spark, reports.limit(0), m.limit(0), h.limit(0), terms.limit(0)).count() == 0
 
 
+def test_misspelled_units_hold_where_the_values_permit(spark, terms):
+    m = spark.createDataFrame([(k + 100 * i, i, k * d, k * q, None, None) for k in range(1, 11) for i, d, q in ((1, 200.0, 2000.0), (2, 2.0, 20.0), (3, 1.0, 2.0))], "measurement_id long, cpt_id long, depth double, qc double, fs double, u2 double")
+    reports = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "cpt_id long, source_file string")
+    names = {"a": ("Depth (centimetrs)", "qc [kilopascls]"), "b": ("Depth (ft.)", "qc [megapscals]"), "c": ("Depth (millimeters)", "qc")}
+    h = heads(spark, [(f, "F", 0, k, t, n[k], None) for f, n in names.items() for k, t in enumerate(("depth", "qc"))])
+    got = {r["cpt_id"]: (r["depth_unit"], r["depth_basis"], r["qc_unit"], r["qc_basis"]) for r in U.sounding_units(spark, reports, m, h, terms).collect()}
+    assert got == {1: ("cm", "header", "kpa", "header"), 2: ("ft", "header", "kpa", "values against the header"), 3: ("m", "values against the header", "mpa", "default")}
+    assert {r["basis"]: r["n"] for r in U.unit_basis(U.sounding_units(spark, reports, m, h, terms)).where("quantity = 'qc'").collect()} == {"header": 1, "values against the header": 1, "default": 1}
+
+
 def test_levels(spark):
     rows = [(1, 347.0, "GWL=347centimetres"), (2, 3.0, "50 mm pipe"), (3, -8.3, "8.3feet bgl"), (4, 10.6, "see sheet 5, [ft] (collar 1 m up)"), (5, 5.0, None), (6, None, "5 cm"), (7, 46.0, "(level in Centimetres)"), (7, 46.0, "(level in Centimetres)"), (8, 50.0, "x" * 100_000), (9, 5.0, "assumed, 5 cm cap"), (10, 1.0, "[ft] (collar 1 m up)"), (11, 100.0, "in mm, casing 100 mm")]
     v = spark.createDataFrame(rows, "value_id long, ground_water_level double, ground_water_level_note string")
