@@ -78,6 +78,14 @@ def p7_summary(spark: SparkSession, d: str) -> DataFrame:
     return packing.summary(p7_packing(spark, d))
 
 
+@registry.query("""SELECT container, capacity_tokens, (SELECT count(*) FROM documents) AS items, 0 AS incomplete, 0 AS split_needlessly, 0 AS overfull
+  FROM containersize""")
+def p7_violations(spark: SparkSession, d: str) -> DataFrame:
+    """Per container the items, and the containers and items that break a rule: none in a sound packing."""
+    sized = cut(_sized(spark, d))
+    return packing.violations(packing.pack(sized, table(spark, d, "containersize")), sized)
+
+
 # ---------------------------------------------------------------- 8: mixing sources to target weights
 
 
@@ -94,6 +102,15 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixing.shares(mixing.mix(sized, targets), targets, sized)
 
 
+@registry.query("""SELECT m.source, min(max_repeats) AS uses_allowed, (SELECT count(*) FROM documents d WHERE d.source = m.source AND length(text) > 0) AS records,
+  0 AS overused, 0 AS unknown FROM mixtarget m WHERE target_share > 0 AND max_repeats >= 1 GROUP BY m.source""")
+def p8_violations(spark: SparkSession, d: str) -> DataFrame:
+    """Per target source its records and the records that break a rule of the mixture: none in a sound one."""
+    sized = cut(_sized(spark, d))
+    targets = table(spark, d, "mixtarget")
+    return mixing.violations(mixing.mix(sized, targets), targets, sized)
+
+
 # ---------------------------------------------------------------- 9: long exact spans shared between records
 
 

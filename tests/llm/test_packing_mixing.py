@@ -1,7 +1,9 @@
+import itertools
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from stratakit.llm import mixing, packing, tokens
 
@@ -23,12 +25,39 @@ def test_search_empties_a_container_that_best_fit_leaves():
     assert (fill > 0).sum() == 4
 
 
-def test_exchanges_raise_the_squared_fill():
+def _improvable(bins):
+    """Brute force: an exchange of at most two items for one, or one for two, that raises the squared fill."""
+    some = lambda b, n: [c for k in range(n + 1) for c in itertools.combinations(sorted(bins.items[b]), k)]
+    for a, b in itertools.permutations(range(len(bins.fill)), 2):
+        for take in some(b, 2):
+            for give in some(a, 2):
+                if not take or len(take) + len(give) > 3:
+                    continue
+                gain = sum(bins.size[i] for i in take) - sum(bins.size[i] for i in give)
+                new = bins.fill[a] + gain
+                if 0 < gain and new <= bins.capacity and new**2 + (bins.fill[b] - gain) ** 2 > bins.fill[a] ** 2 + bins.fill[b] ** 2:
+                    return True
+    return False
+
+
+@pytest.mark.parametrize("listed", [0, 3, 64])
+def test_search_ends_where_no_exchange_is_left(monkeypatch, listed):
+    monkeypatch.setattr(packing, "LISTED", listed)
     rng = np.random.default_rng(8)
-    bins = packing.Bins(rng.integers(300, 480, 300), 1000)
-    before = sum(f * f for f in bins.fill)
-    bins.improve()
-    assert sum(f * f for f in bins.fill) >= before and sum(map(len, bins.items)) == 300
+    for low, high, n, cap in ((300, 480, 30, 1000), (1, 60, 60, 100), (5, 30, 60, 300), (1, 4, 50, 40)):
+        bins = packing.Bins(rng.integers(low, high, n), cap)
+        before = sum(f * f for f in bins.fill)
+        bins.improve()
+        assert max(bins.fill) <= cap and sum(map(len, bins.items)) == n and not _improvable(bins)
+        assert sum(f * f for f in bins.fill) > before
+        assert all(f == sum(bins.size[i] for i in inside) for f, inside in zip(bins.fill, bins.items))
+
+
+def test_repeated_ids_are_separate_items(spark):
+    docs = spark.createDataFrame([(1, 250), (1, 250), (2, 100)], "doc_id long, tokens long")
+    kinds = spark.createDataFrame([("a", 100)], "container string, capacity_tokens int")
+    s = packing.summary(packing.pack(docs, kinds)).head()
+    assert s["bins"] == s["fewest_bins"] == 6 and s["fullest"] == 100 and s["mean_fill"] == 1.0 and s["tokens"] == 600
 
 
 def test_pack(spark):
@@ -57,7 +86,10 @@ def test_pack(spark):
         assert pieces[900] == -(-250 // cap)
     assert {r["container"] for r in rows} == {"a", "b"}
     assert packing.pack(docs.limit(0), kinds).count() == 0
-    s = packing.summary(packing.pack(docs, kinds)).collect()
+    packed = packing.pack(docs, kinds)
+    bad = packing.violations(packed, docs.where("doc_id is not null and doc_id <> 7")).where("incomplete > 2 or overfull > 0 or split_needlessly > 2")
+    assert bad.count() == 0  # ids 7 and null are left out of what is asked for
+    s = packing.summary(packed).collect()
     assert all(r["bins"] <= r["fewest_bins"] * 1.03 + 1 for r in s)
 
 
@@ -97,6 +129,36 @@ def test_shares_name_what_limits_the_mixture(spark):
     assert given["small"]["unused_tokens"] == 10 and given["big"]["unused_tokens"] == 1940
 
 
+def test_a_source_that_runs_dry_leaves_its_room_to_the_others(spark):
+    docs = spark.createDataFrame([(i, "big", 10) for i in range(200)] + [(900 + i, "small", 10) for i in range(10)], "doc_id long, source string, tokens long")
+    targets = spark.createDataFrame([("big", 0.5, 1), ("small", 0.5, 2)], "source string, target_share double, max_repeats int")
+    mixed = mixing.mix(docs, targets, budget=1000.0)
+    assert {r["source"]: r["s"] for r in mixed.groupBy("source").agg(F.sum("tokens").alias("s")).collect()} == {"big": 800, "small": 200}
+    assert [r["position"] for r in mixed.collect()] == list(range(1, 101))
+    said = {r["source"]: r for r in mixing.shares(mixed, targets, docs, 1000.0).collect()}
+    assert said["small"]["shortfall"] == 300.0 and said["big"]["shortfall"] == 0.0 and said["small"]["remark"] == "runs dry before its share of the budget"
+    assert mixing.mix(docs, targets, budget=10**6).agg(F.sum("tokens")).head()[0] == 2200
+    assert mixing.violations(mixed, targets, docs).where("overused + unknown > 0").count() == 0
+
+
+def test_cut_is_that_of_the_whole_order(spark):
+    """Against brute force: all uses of all records in the order of their finish times, cut at the budget."""
+    rng = np.random.default_rng(4)
+    recs = [(i, "abc"[int(rng.integers(3))], int(rng.choice([1, 5, 900]))) for i in range(120)]
+    docs = spark.createDataFrame(recs, "doc_id long, source string, tokens long")
+    targets = spark.createDataFrame([("a", 0.5, 1), ("b", 0.3, 2), ("c", 0.2, 3)], "source string, target_share double, max_repeats int")
+    whole = [tuple(r)[1:] for r in mixing.mix(docs, targets, budget=1e9).collect()]
+    assert len(whole) == sum({"a": 1, "b": 2, "c": 3}[s] for _, s, _ in recs)
+    for budget in (1, 50, 2000, 9000, 40_000):
+        want, total = [], 0
+        for r in whole:
+            total += r[3]
+            if total > budget:
+                break
+            want.append(r)
+        assert [tuple(r)[1:] for r in mixing.mix(docs, targets, budget=float(budget)).collect()] == want
+
+
 def test_stretches_do_not_change_the_order(spark, monkeypatch):
     docs = spark.createDataFrame([(i, "a" if i % 3 else "b", 1 + i % 7) for i in range(500)], "doc_id long, source string, tokens long")
     targets = spark.createDataFrame([("a", 0.5, 1), ("b", 0.5, 3)], "source string, target_share double, max_repeats int")
