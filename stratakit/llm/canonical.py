@@ -4,10 +4,13 @@ A reference string that may differ by k edits is cut into k+1 segments. If the e
 unchanged in the value, shifted by k positions at most. So values and references meet in an equality join on
 (segment text, position), and the built-in ``levenshtein`` verifies what meets.
 
-Two rounds use that join. The first matches the words of a value with the words of the entries, whole or cut short, and takes
-the entry whose letters are covered best; it does not care about word order, fillers or separators. The second takes what the
-first leaves open and compares run-together letters with each entry in every word order and with one word left out; entries
-of more than ``ALL_ORDERS`` words only as rotations, reversed and with the ends swapped. What neither matches is reported by an anti-join as entry 0.
+Two rounds use that join. The first compares the letters of a value with whole entries, in every order of their words and with one
+word left out; what comes first is the fewest edits. An entry may stand anywhere in a value, so every run of consecutive words is
+such a text, its letters run together: whatever stands beside the entry (a remark, a measure, a prefix) takes no part, and no list
+of such words is needed. The second takes what the first leaves open (words cut short, several words missing or torn apart) and
+matches the words of the value with the words of the entries, by the share of the entry's letters that are found again. What
+neither matches is reported by an anti-join as entry 0. Entries of more than ``ALL_ORDERS`` words are compared only as rotations,
+reversed and with the ends swapped.
 
 Edge cases: a null value gives no row; an empty or blank value means no entry; a value spelled exactly as an entry of its field
 gives no row; a value of any length is split whole, and only words too long for any entry are skipped; ties go to the fewest
@@ -16,43 +19,30 @@ edits and then to the smallest entry; null reference entries are ignored; with a
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratakit.session import broadcast_if_small, cut, salted_join
 
-#: Share of an entry's letters that must be found again, in the first and the second round.
-COVERED, ALIKE = 0.5, 0.66
-#: Shortest word that may be cut short, and most edits in run-together letters.
-SHORTEST_CUT, MOST_EDITS = 4, 7
+#: Share of an entry's letters that must be found again by words, share of them that must stand when all there is is one word cut
+#: short and misspelled, and share of letters that must stand unedited in a run of words.
+COVERED, STANDING, ALIKE = 0.5, 0.45, 0.66
+#: Shortest word that may be cut short.
+SHORTEST_CUT = 4
 #: Most words of an entry whose run-together letters are formed in every order.
 ALL_ORDERS = 5
 
 #: Letters with marks and their plain forms.
 _MARKED, _PLAIN = "àáâãäåāçèéêëēìíîïīñòóôõöōùúûüūýÿ", "aaaaaaaceeeeeiiiiinoooooouuuuuyy"
 
-_UNIT = r"(?:millimet(?:re|er)s?|centimet(?:re|er)s?|met(?:re|er)s?|mtrs?|feet|foot|ft|mm|cm|m)"
-#: Measures and what they measure; words that add nothing.
-_MEASURES = [
-    rf"[\[(]\s*(?:level\s+in\s+)?{_UNIT}\.?\s*[\])]",
-    r"\bgwl\s*=?",
-    rf"\(?(?:\bcollar\s+|\bcasing\s+|\bin\s+)?\d+(?:\.\d+)?\s*{_UNIT}\b\.?(?:\s*(?:pipe|tube|cap|up|bgl)\b\)?)?",
-    rf"\bin\s+{_UNIT}\b\.?",
-]
-_FILLERS = r"\b(?:due to|prob\.|note:|stop:|again\b|at end\b|today\b)|\(op\)"
-
 
 def plain(value: Column) -> Column:
     """Lower case without marks; separators become blanks."""
     return F.regexp_replace(F.translate(F.lower(value), _MARKED, _PLAIN), r"[_\-\s]+", " ")
 
 
-def without_measures(value: Column) -> Column:
-    for pattern in _MEASURES:
-        value = F.regexp_replace(value, pattern, " ")
-    return value
-
-
 def _segments(text: Column, k: Column) -> Column:
     """Array of (segment text, position) for every cut and every shift a match may show; positions count from 1."""
     size = F.length(text)
@@ -77,8 +67,8 @@ def _substrings(text: Column, n: int) -> Column:
     return F.when(F.length(text) >= n, parts).otherwise(_no_parts())
 
 
-def pigeonhole(values: DataFrame, value: str, refs: DataFrame, ref: str, k: str) -> DataFrame:
-    """Pairs of distinct values and references at most ``k`` edits apart, with the columns of both and ``edits``.
+def pigeonhole(values: DataFrame, value: str, refs: DataFrame, ref: str, k: str, also: Sequence[str] = ()) -> DataFrame:
+    """Pairs of distinct values and references at most ``k`` edits apart and equal in the columns ``also``, with ``edits``.
 
     ``refs`` must be small; its row count is checked before it is broadcast. The lengths of its segments, a handful of
     numbers, decide which substrings of the values are formed.
@@ -90,13 +80,21 @@ def pigeonhole(values: DataFrame, value: str, refs: DataFrame, ref: str, k: str)
     grams = F.flatten(F.array(*[_substrings(text, n) for n in sizes])) if sizes else _no_parts()
     fit = values.where((F.length(text) > 0) & (F.length(text) <= longest))
     probes = fit.withColumn("__g", F.explode(grams)).select("*", F.col("__g.part").alias("part"), F.col("__g.pos").alias("pos")).drop("__g")
-    met = probes.join(broadcast_if_small(keyed), ["part", "pos"]).where(F.abs(F.length(text) - F.length(ref)) <= F.col(k))
+    met = probes.join(broadcast_if_small(keyed), [*also, "part", "pos"]).where(F.abs(F.length(text) - F.length(ref)) <= F.col(k))
     near = met.drop("part", "pos").distinct().withColumn("edits", F.levenshtein(text, F.col(ref)))
     return near.where(F.col("edits") <= F.col(k))
 
 
+def _runs(tokens: Column, most: int, longest: int) -> Column:
+    """Run-together letters of every run of at most ``most`` consecutive words, as far as ``longest`` letters."""
+    n = F.size(tokens)
+    ends = lambda i: F.sequence(F.lit(1), F.least(F.lit(most), n - i))
+    every = F.flatten(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.transform(ends(i), lambda w: F.array_join(F.slice(tokens, i + 1, w), ""))))
+    return F.when(n > 0, F.array_distinct(F.filter(every, lambda x: F.length(x) <= longest)))
+
+
 def _word_refs(entries: DataFrame) -> DataFrame:
-    """Words of the entries, whole and cut short, with the edits each may differ by and the letters it stands for."""
+    """Words of the entries, whole and cut short, with the edits each may differ by and the letters it stands for; a cut costs one more."""
     words = entries.select("field", "entry_id", F.posexplode(F.split("plain", " ")).alias("w", "word")).where("word <> ''")
     n = F.length("word")
     whole = F.when(n <= 3, 0).when(n <= 5, 1).when(n <= 6, 2).otherwise(3)
@@ -117,7 +115,10 @@ def _permutations(words: Column) -> Column:
 
 
 def _letter_refs(entries: DataFrame) -> DataFrame:
-    """Entries as run-together letters in every order, each also with one word left out; long ones in the orders named above."""
+    """Entries as run-together letters in every order, each also with one word left out; long ones in the orders named above.
+
+    ``loss`` are the letters left out.
+    """
     words = F.filter(F.split("plain", " "), lambda w: w != "")
     size = F.size("words")
     rotations = F.transform(F.sequence(F.lit(0), size - 1), lambda i: F.concat(
@@ -126,12 +127,12 @@ def _letter_refs(entries: DataFrame) -> DataFrame:
     some = F.concat(rotations, F.array(F.reverse(F.col("words")), swapped))
     orders = F.when(size <= ALL_ORDERS, _permutations(F.col("words"))).otherwise(some)
     full = entries.withColumn("words", words).where("size(words) > 0").select("field", "entry_id", F.explode(F.array_distinct(orders)).alias("words"))
-    short = full.where("size(words) > 2").select("field", "entry_id", F.explode(F.transform(
-        F.sequence(F.lit(0), F.size("words") - 1), lambda i: F.filter("words", lambda w, j: j != i))).alias("words"))
-    letters = full.withColumn("loss", F.lit(0)).unionByName(short.withColumn("loss", F.lit(1)))
+    short = full.where("size(words) > 2").select("field", "entry_id", F.inline(F.transform(
+        F.sequence(F.lit(0), F.size("words") - 1), lambda i: F.struct(F.filter("words", lambda w, j: j != i).alias("words"), F.length(F.get("words", i)).alias("loss")))))
+    letters = full.withColumn("loss", F.lit(0)).unionByName(short)
     letters = letters.select("field", "entry_id", "loss", F.array_join("words", "").alias("form")).groupBy("field", "entry_id", "form").agg(F.min("loss").alias("loss"))
     n = F.length("form")
-    return letters.withColumn("k", F.least(F.floor(n * (1 - ALIKE)), F.lit(MOST_EDITS)).cast("int")).where("k > 0 or loss = 0")
+    return letters.withColumn("k", F.floor(n * (1 - ALIKE)).cast("int")).where("k > 0 or loss = 0")
 
 
 def canonical(values: DataFrame, reference: DataFrame) -> DataFrame:
@@ -151,24 +152,34 @@ def canonical(values: DataFrame, reference: DataFrame) -> DataFrame:
 
 def _meanings(spelled: DataFrame, entries: DataFrame) -> DataFrame:
     """(field, value, entry_id) for the distinct values that mean an entry."""
-    text = spelled.withColumn("text", without_measures(plain(F.col("value"))))
-    words = text.select("field", "value", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit("[a-z]+"), F.lit(0)))).alias("token"))
-    by_word = pigeonhole(words.select("token").distinct(), "token", _word_refs(entries), "form", "k")
-    best_form = by_word.groupBy("token", "field", "entry_id", "w", "letters").agg(F.min(F.col("edits") + F.col("loss")).alias("lost"))
+    text = spelled.withColumn("tokens", F.regexp_extract_all(plain(F.col("value")), F.lit("[a-z]+"), F.lit(0)))
+    forms = cut(_letter_refs(entries))
+    size = forms.agg(F.max(F.length("form") + F.col("k")).alias("longest")).head()
+    words = entries.agg(F.max(F.size(F.split("plain", " "))).alias("most")).head()
+    longest, most = size["longest"] or 0, 2 * (words["most"] or 0)  # a word may be torn in two
+    runs = cut(text.select("field", "value", F.explode(_runs(F.col("tokens"), max(most, 1), longest)).alias("letters")))
+    alike = pigeonhole(runs.select("field", "letters").distinct(), "letters", forms, "form", "k", ["field"])
+    closest = alike.groupBy("field", "letters", "entry_id").agg(F.min(F.struct(F.col("edits") + F.col("loss"), "loss")).alias("e"))
+    met = runs.join(closest, ["field", "letters"])
+    # fewest edits and letters left out, then the longest run
+    first = cut(met.groupBy("field", "value").agg(F.min_by("entry_id", F.struct("e", -F.length("letters"), "entry_id")).alias("entry_id")))
+    tokens = text.select("field", "value", F.explode(F.array_distinct("tokens")).alias("token")).join(first, ["field", "value"], "left_anti")
+    by_word = pigeonhole(tokens.select("field", "token").distinct(), "token", _word_refs(entries), "form", "k", ["field"])
+    lost = F.struct((F.col("edits") + F.col("loss")).alias("lost"), ((F.col("loss") > 0) & (F.col("edits") > 0)).alias("weak"), (F.col("edits") - F.length("form")).alias("gone"))
+    best_form = by_word.groupBy("token", "field", "entry_id", "w", "letters").agg(F.min(lost).alias("l")).select("*", "l.*")
     covered = (
-        words.join(best_form, ["field", "token"])
+        tokens.join(best_form, ["field", "token"])
         .groupBy("field", "value", "entry_id", "w", "letters")
-        .agg(F.min("lost").alias("lost"))
+        .agg(F.min(F.struct("lost", "weak", "gone")).alias("l"))
         .groupBy("field", "value", "entry_id")
-        .agg(F.sum(F.greatest(F.col("letters") - F.col("lost"), F.lit(0))).alias("kept"), F.sum("lost").alias("lost"))
+        .agg(
+            F.sum(F.greatest(F.col("letters") - F.col("l.lost"), F.lit(0))).alias("kept"), F.sum("l.lost").alias("lost"),
+            (F.bool_and("l.weak") & (F.count("*") == 1)).alias("alone"), F.sum(-F.col("l.gone")).alias("standing"),
+        )
         .join(broadcast_if_small(entries.select("entry_id", "field", F.length(F.regexp_replace("plain", " ", "")).alias("size"))), ["field", "entry_id"])
         .withColumn("score", F.col("kept") / F.col("size"))
     )
     rank = F.struct(-F.col("score"), "lost", "entry_id")
-    first = cut(covered.where(F.col("score") >= COVERED).groupBy("field", "value").agg(F.min_by("entry_id", rank).alias("entry_id")))
-    rest = text.join(first, ["field", "value"], "left_anti")
-    letters = rest.select("field", "value", F.regexp_replace(F.regexp_replace("text", _FILLERS, ""), "[^a-z]+", "").alias("letters"))
-    alike = pigeonhole(letters.select(F.col("field").alias("of"), "letters").distinct(), "letters", _letter_refs(entries), "form", "k")
-    closest = alike.where("of = field").groupBy("field", "letters").agg(F.min_by("entry_id", F.struct(F.col("edits") + F.col("loss"), "entry_id")).alias("entry_id"))
-    second = letters.join(closest, ["field", "letters"]).select("field", "value", "entry_id")
+    enough = (F.col("score") >= COVERED) & (~F.col("alone") | (F.col("standing") >= F.col("size") * STANDING))
+    second = covered.where(enough).groupBy("field", "value").agg(F.min_by("entry_id", rank).alias("entry_id"))
     return first.unionByName(second)
