@@ -85,22 +85,27 @@ def line_counts(lines: DataFrame) -> DataFrame:
     return lines.withColumn("n_number", numbers).withColumn("n_text", F.size(plain) - F.col("n_number"))
 
 
-def _hits(parameter: str) -> Column:
-    """Columns of a line that may be ``parameter``: exact names once each, parts of names everywhere; ascending."""
-    low = F.transform("cells", lambda x: F.lower(x))
-    at = F.transform(low, lambda x, i: F.struct(i.alias("col"), x.alias("name")))
-    exact = [F.array_position(low, ch) - 1 for ch in K.EXACT_NAMES[parameter]]
-    parts = K.PART_NAMES[parameter]
+_EXACT = sorted({e for names in K.EXACT_NAMES.values() for e in names})
 
-    def match(c: Column) -> Column:
-        hit = F.lit(False)
-        for s in parts:
-            hit = hit | c["name"].contains(s)
-        for e in exact:
-            hit = hit | (c["col"] == F.coalesce(e, F.lit(-1)))
-        return c["name"].isNotNull() & F.coalesce(hit, F.lit(False))
 
-    return F.filter(at, match)
+def _named(lines: DataFrame) -> DataFrame:
+    """Adds ``__at``: per cell its column, its lower-case name, and whether it is the line's first use of an exact name."""
+    low = lines.withColumn("__low", F.transform("cells", lambda x: F.lower(x)))
+    first = lambda x, i: F.when(x.isin(_EXACT), F.array_position("__low", x) == i + 1).otherwise(False)
+    return low.withColumn("__at", F.transform("__low", lambda x, i: F.struct(i.alias("col"), x.alias("name"), first(x, i).alias("first"))))
+
+
+def _has_part(parameter: str, name: Column) -> Column:
+    hit = F.lit(False)
+    for s in K.PART_NAMES[parameter]:
+        hit = hit | name.contains(s)
+    return hit
+
+
+def _hits(parameter: str) -> Column:
+    """Columns of a line that may be ``parameter``: exact names once each, parts of names everywhere; ascending."""
+    match = lambda c: c["name"].isNotNull() & (_has_part(parameter, c["name"]) | (c["first"] & c["name"].isin(K.EXACT_NAMES[parameter])))
+    return F.transform(F.filter("__at", match), lambda c: F.struct(c["col"].alias("col"), c["name"].alias("name")))
 
 
 def _negated(parameter: str, name: Column) -> Column:
@@ -112,7 +117,7 @@ def _negated(parameter: str, name: Column) -> Column:
 
 def candidates(lines: DataFrame, sticky: bool = False) -> DataFrame:
     """Adds one array of (col, name) per parameter. ``sticky``: a negated candidate also ends the list."""
-    out = lines
+    out = _named(lines)
     for p in K.PARAMETERS:
         out = out.withColumn(p, _hits(p))
         if sticky:
@@ -120,7 +125,7 @@ def candidates(lines: DataFrame, sticky: bool = False) -> DataFrame:
             out = out.withColumn(p, F.when(first > 0, F.slice(p, F.lit(1), first.cast("int") - 1)).otherwise(F.col(p)))
         else:
             out = out.withColumn(p, _kept(p))
-    return out
+    return out.drop("__low", "__at")
 
 
 def _flags(p: str) -> Column:
@@ -147,31 +152,45 @@ def _unclaimed(p: str) -> Column:
     return F.filter(p, lambda c: ~F.array_contains("__taken", c["name"]))
 
 
-def header_rows(lines: DataFrame, sheet: str) -> DataFrame:
-    """(sheet, header_row, n_found, n_lines): the line that names most parameters, searched from the line with most text on."""
-    seen = line_counts(lines)
-    for p in K.PARAMETERS:
-        seen = seen.withColumn(p, _hits(p)).withColumn(p, _kept(p))
-    found = sum(((F.size(p) > 0).cast("int") for p in K.PARAMETERS), F.lit(0))
-    seen = seen.select(sheet, "row", (F.col("n_text") - F.col("n_number")).alias("surplus"), found.alias("found"))
-    facts = seen.groupBy(sheet).agg(
+def line_facts(lines: DataFrame, sheet: str) -> DataFrame:
+    """(sheet, row, n_text, n_number, found): what the header search needs of each line; ``found`` counts the parameters it names.
+
+    One narrow row per line, written out once and read by every later step.
+    """
+    counted = line_counts(lines).withColumn("__low", F.transform("cells", lambda x: F.lower(x)))
+
+    def named(p: str) -> Column:
+        part = F.exists("__low", lambda x: F.coalesce(_has_part(p, x) & ~_negated(p, x), F.lit(False)))
+        whole = [e for e in K.EXACT_NAMES[p] if not any(w in e for w in K.NEGATING[p])]
+        return part | F.coalesce(F.arrays_overlap(F.array_compact("__low"), F.array(*[F.lit(e) for e in whole]).cast("array<string>")), F.lit(False))
+
+    found = sum((named(p).cast("int") for p in K.PARAMETERS), F.lit(0))
+    return cut(counted.select(sheet, "row", "n_text", "n_number", found.alias("found")))
+
+
+def header_rows(facts: DataFrame, sheet: str) -> DataFrame:
+    """(sheet, header_row, n_found, n_lines): the line that names most parameters, searched from the line with most text on.
+
+    ``facts``: see :func:`line_facts`.
+    """
+    seen = facts.withColumn("surplus", F.col("n_text") - F.col("n_number"))
+    ends = seen.groupBy(sheet).agg(
         F.min_by("row", F.struct(-F.col("surplus"), "row")).alias("start"), F.min("row").alias("low"), F.max("row").alias("high")
     )
-    with_found = seen.where("found > 0")
-    ring = salted_join(with_found, facts, [sheet], "inner", ["row"]).where("row < high")
+    ring = salted_join(seen.where("found > 0"), ends, [sheet], "inner", ["row"]).where("row < high")
     turn = F.pmod(F.col("row") - F.col("start"), F.greatest(F.col("high") - F.col("low"), F.lit(1)))
     best = ring.groupBy(sheet).agg(
         F.min_by(F.struct("row", "found"), F.struct(-F.col("found"), turn, "row")).alias("b")
     )
-    return facts.join(best, sheet, "left").select(
+    return ends.join(best, sheet, "left").select(
         sheet, F.col("b.row").alias("header_row"), F.coalesce("b.found", F.lit(0)).alias("n_found"), (F.col("high") - F.col("low") + 1).alias("n_lines")
     )
 
 
-def header_spans(lines: DataFrame, headers: DataFrame, sheet: str) -> DataFrame:
+def header_spans(facts: DataFrame, headers: DataFrame, sheet: str) -> DataFrame:
     """(sheet, header_row, first, last): the header's lines. Upward while the text count stays the same, downward while texts prevail,
-    never into the last line."""
-    counts = line_counts(lines).select(sheet, "row", "n_text", "n_number")
+    never into the last line. ``facts``: see :func:`line_facts`."""
+    counts = facts.select(sheet, "row", "n_text", "n_number")
     known = headers.where("header_row is not null")
     own = salted_join(counts, known, [sheet], "inner", ["row"])
     texts = own.groupBy(sheet).agg(
@@ -209,10 +228,11 @@ def column_facts(body: DataFrame, sheet: str) -> DataFrame:
     """(sheet, col, n_numbers, index_like): numeric cells of each column below the header, and whether it only counts up in
     whole numbers. ``body``: sheet, row, cells."""
     cells = body.select(sheet, "row", F.posexplode("cells").alias("col", "raw"))
-    cells = cells.withColumn("num", to_number(F.col("raw")))
     whole = F.coalesce(F.col("raw").rlike(r"^[+-]?\d+$"), F.lit(False))
-    plain = cells.groupBy(sheet, "col").agg(F.count("num").alias("n_numbers"), F.bool_and(whole).alias("whole"))
-    ordered = cells.where("num is not null").groupBy(sheet, "col", "row").agg(F.max("num").alias("num"))
+    plain = cut(cells.groupBy(sheet, "col").agg(F.count(to_number(F.col("raw"))).alias("n_numbers"), F.bool_and(whole).alias("whole")))
+    # only columns of whole numbers need their order looked at
+    asked = salted_join(cells, plain.where("whole").select(sheet, "col"), [sheet, "col"], "left_semi", ["row"])
+    ordered = asked.groupBy(sheet, "col", "row").agg(F.max(to_number(F.col("raw"))).alias("num"))
     steps = chunked_lag(ordered, [sheet, "col"], "row", F.floor(F.col("row") / CHUNK), F.col("num"), "before")
     rising = steps.groupBy(sheet, "col").agg(F.bool_and(F.coalesce(F.col("num") >= F.col("before"), F.lit(True))).alias("rising"))
     out = plain.join(rising, [sheet, "col"], "left")
@@ -284,8 +304,9 @@ def extract_named(lines: DataFrame, sheet: str) -> tuple[DataFrame, DataFrame, D
 
     ``lines``: sheet, row, cells. Failure categories: no_header_row, missing_columns, no_numeric_data.
     """
-    found = cut(header_rows(lines, sheet))
-    spans = cut(header_spans(lines, found, sheet))
+    known = line_facts(lines, sheet)
+    found = cut(header_rows(known, sheet))
+    spans = cut(header_spans(known, found, sheet))
     options = parameter_columns(merged_names(lines, spans, sheet), sheet)
     body = salted_join(lines, spans.select(sheet, "last"), [sheet], "inner", ["row"]).where("row > last").drop("last")
     chosen = cut(chosen_columns(options, column_facts(body, sheet), sheet))

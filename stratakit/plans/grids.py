@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from stratakit import constants as K
 from stratakit.operators import sheets as S
 from stratakit.plans.registry import Registry
-from stratakit.session import cut, table
+from stratakit.session import cut, salted_join, table
 
 registry = Registry()
 
@@ -137,30 +137,32 @@ def column_greedy_claim(spark: SparkSession, d: str) -> DataFrame:
 @registry.query(f"WITH {_HEADER} SELECT file_path, header_row, n_found, n_lines FROM head")
 def header_detect(spark: SparkSession, d: str) -> DataFrame:
     """The header line of each sheet."""
-    return S.header_rows(_lines(spark, d), "file_path")
+    return S.header_rows(S.line_facts(_lines(spark, d), "file_path"), "file_path")
 
 
 @registry.query(f'WITH {_HEADER} SELECT file_path, header_row, "first", "last" FROM span')
 def header_span(spark: SparkSession, d: str) -> DataFrame:
     """The lines that belong to the header."""
-    lines = _lines(spark, d)
-    return S.header_spans(lines, S.header_rows(lines, "file_path"), "file_path")
+    facts = S.line_facts(_lines(spark, d), "file_path")
+    return S.header_spans(facts, S.header_rows(facts, "file_path"), "file_path")
 
 
 @registry.query(f"""WITH {_CHOSEN} SELECT file_path, col, name, CASE WHEN k > 1 THEN name || '_' || k ELSE name END AS unique_name
   FROM (SELECT *, row_number() OVER (PARTITION BY file_path, name ORDER BY col) AS k FROM name)""")
 def unique_column_names(spark: SparkSession, d: str) -> DataFrame:
     """PR8-PR10: merged header names, repeats numbered."""
-    lines = _lines(spark, d)
-    spans = S.header_spans(lines, S.header_rows(lines, "file_path"), "file_path")
+    lines = cut(_lines(spark, d))
+    facts = S.line_facts(lines, "file_path")
+    spans = S.header_spans(facts, S.header_rows(facts, "file_path"), "file_path")
     return S.unique_names(S.merged_names(lines, spans, "file_path"), "file_path")
 
 
 def _selection(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     lines = cut(_lines(spark, d))
-    spans = cut(S.header_spans(lines, S.header_rows(lines, "file_path"), "file_path"))
+    known = S.line_facts(lines, "file_path")
+    spans = cut(S.header_spans(known, S.header_rows(known, "file_path"), "file_path"))
     names = S.merged_names(lines, spans, "file_path")
-    body = lines.join(spans.select("file_path", "last"), "file_path").where("row > last").drop("last")
+    body = salted_join(lines, spans.select("file_path", "last"), ["file_path"], "inner", ["row"]).where("row > last").drop("last")
     facts = S.column_facts(body, "file_path")
     return spans, body, facts, S.chosen_columns(S.parameter_columns(names, "file_path"), facts, "file_path")
 

@@ -184,12 +184,12 @@ def test_two_line_header_and_column_choice(spark):
     lines = [["Hole", None], ["Depth", "qc", "qc", "fs", "u2", "Top"], ["m", "MPa", "MPa", "MPa", "MPa", "no"]]
     lines += [[f"{k}.1", f"{k}.2" if k < 5 else None, f"{k}.3", f"{k}.4", f"{k}.5", str(k)] for k in range(10)]
     df = spark.createDataFrame([("s", i, c) for i, c in enumerate(lines)], "sheet string, row int, cells array<string>")
-    spans = S.header_spans(df, S.header_rows(df, "sheet"), "sheet").head()
+    spans = S.header_spans(S.line_facts(df, "sheet"), S.header_rows(S.line_facts(df, "sheet"), "sheet"), "sheet").head()
     assert (spans["header_row"], spans["first"], spans["last"]) == (1, 1, 2)
     good, failed = S.extract(df, "sheet")
     rows = good.orderBy("row").collect()
     assert failed.count() == 0 and len(rows) == 10 and rows[7]["qc"] == 7.3 and rows[7]["depth"] == 7.1
-    names = S.unique_names(S.merged_names(df, S.header_spans(df, S.header_rows(df, "sheet"), "sheet"), "sheet"), "sheet")
+    names = S.unique_names(S.merged_names(df, S.header_spans(S.line_facts(df, "sheet"), S.header_rows(S.line_facts(df, "sheet"), "sheet"), "sheet"), "sheet"), "sheet")
     assert {r["unique_name"] for r in names.collect()} == {"depth_m", "qc_mpa", "qc_mpa_2", "fs_mpa", "u2_mpa", "top_no"}
     assert S.extract(df.limit(0), "sheet")[0].count() == 0
 
