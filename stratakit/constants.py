@@ -37,6 +37,18 @@ TERMINATION_REASONS = {"refusal": 1, "target_depth": 2}
 GWL_METHODS = {"assumed": 1, "collapsed": 2, "derived": 3, "dipper": 4, "estimated": 5, "measured": 6}
 INVESTIGATION_TYPES = {"CPT": 1, "BH": 2}
 HAMMER_TYPES = {"Auto": 1, "Safety": 2, "Standard": 3}
+CPT_TO_VS = {
+    "andrus_2007_holocene": 1, "andrus_2007_pleistocene": 2, "andrus_2007_tertiary_age_cooper_marl": 3, "hegazy_2006": 4,
+    "mcgann_2015": 5, "mcgann_2018": 6, "robertson_2009": 7,
+}
+SPT_TO_VS = {"brandenberg_2010": 1, "kwak_2015": 2}
+VS_TO_VS30 = {"boore_2004": 1, "boore_2011": 2}
+
+# Records whose files are known to be corrupt, with category and details.
+SPECIAL_CASES = {
+    "CPT_59414": ("corrupt_file", "all data in first column"),
+    "CPT_73271": ("corrupt_file", "data columns are not recognized"),
+}
 
 # File kinds by lower-case suffix.
 FILE_KINDS = {".xlsx": "spreadsheet", ".xls": "spreadsheet", ".csv": "spreadsheet", ".txt": "spreadsheet", ".ags": "ags", ".pdf": "nondata", ".cpt": "nondata"}

@@ -10,10 +10,13 @@ import re
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratakit import constants as K
+from stratakit.operators import load
+from stratakit.schemas import conform
+from stratakit.session import cut, salted_join
 
 OUT = "report string, kind string, depth double, n int, soil_types array<string>, efficiency double, category string"
 
@@ -27,18 +30,20 @@ def depth_label(text: str) -> float | None:
     return v if 0 <= v <= K.MAX_SPT_DEPTH else None
 
 
-def depth_scale(center: float, boxes: pd.DataFrame, widest: float = 5.0, rounds: int = 10) -> tuple[float, float] | None:
-    """(slope, intercept) of depth over height from the labels around ``center``, or None.
+def depth_scale(left: float, right: float, boxes: pd.DataFrame, beyond: float = 5.0, rounds: int = 10) -> tuple[float, float] | None:
+    """(slope, intercept) of depth over height from the numbers in the column of a label that spans ``left`` to ``right``, or None.
 
-    ``boxes`` come bottom to top. A band around the centre is searched by halving: too few labels widen it, depths that rise upward
-    narrow it. The fit of the last acceptable band counts.
+    ``boxes`` come bottom to top. A number belongs to the column when its centre, give or take a band, meets the label's whole width. The
+    band, at most half that width and ``beyond``, is searched by halving: too few numbers widen it, depths that rise upward narrow
+    it. The first acceptable band counts.
     """
     read = [depth_label(t) for t in boxes["text"]]
-    labels = [(d, y, a, b) for d, y, a, b in zip(read, (boxes["y0"] + boxes["y1"]) / 2, boxes["x0"], boxes["x1"]) if d is not None]
-    low, high, fit = 0.0, widest, None
+    middle = zip(read, (boxes["y0"] + boxes["y1"]) / 2, (boxes["x0"] + boxes["x1"]) / 2)
+    labels = [(d, y, x) for d, y, x in middle if d is not None]
+    low, high = 0.0, beyond + (right - left) / 2
     for _ in range(rounds):
         eps = (low + high) / 2
-        inside = [(d, y) for d, y, a, b in labels if a <= center + eps and b >= center - eps]
+        inside = [(d, y) for d, y, x in labels if left <= x + eps and x - eps <= right]
         if len(inside) < 2:
             low = eps
             continue
@@ -47,10 +52,10 @@ def depth_scale(center: float, boxes: pd.DataFrame, widest: float = 5.0, rounds:
             high = eps
             continue
         if np.ptp(y) == 0:
-            return fit
+            return None
         slope, intercept = np.polyfit(y, d, 1)
         return float(slope), float(intercept)
-    return fit
+    return None
 
 
 def _percent_near(label: re.Match, text: str) -> float | None:
@@ -70,7 +75,7 @@ def analyse_report(pdf: pd.DataFrame) -> pd.DataFrame:
     label = boxes[boxes["text"].str.lower().str.match(K.DEPTH_LABEL)]
     if label.empty:
         return failed("no_depth_label")
-    center = float(label["x0"].iloc[0] + label["x1"].iloc[0]) / 2
+    left, right = float(label["x0"].iloc[0]), float(label["x1"].iloc[0])
     out: list[tuple] = []
     efficiency, scaled = None, False
     for _, page in boxes.groupby("page", sort=True):
@@ -81,7 +86,7 @@ def analyse_report(pdf: pd.DataFrame) -> pd.DataFrame:
                     beside = [b.text for b in page.itertuples() if not (b.y1 < box.y0 or box.y1 < b.y0)]
                     found = [re.search(K.PERCENTAGE, t) for t in beside]
                     efficiency = next((float(f.group(1)) for f in found if f), None)
-        fit = depth_scale(center, page)
+        fit = depth_scale(left, right, page)
         if fit is None:
             continue
         scaled = True
@@ -112,3 +117,26 @@ def analyse(boxes: DataFrame) -> DataFrame:
 def allowed(df: DataFrame, key: str, allow: DataFrame) -> DataFrame:
     """Rows whose key is on the allow-list."""
     return df.join(allow.select(F.col(allow.columns[0]).alias(key)).distinct(), key, "left_semi")
+
+
+def store_reports(spark: SparkSession, found: DataFrame, ids: DataFrame) -> dict[str, DataFrame]:
+    """The store tables of analysed reports: sptreport, sptmeasurements, soilmeasurements and the bridge soilmeasurementsoiltype.
+
+    ``found``: see :data:`OUT`; ``ids``: report, borehole_id (one id per report; a report without one is left out). A soil measurement is
+    keyed after the report, the depth and the soils named there; a soil that the store does not know is left out of the bridge.
+    """
+    owned = salted_join(found.where("kind <> 'failure'"), ids.groupBy("report").agg(F.min("borehole_id").cast("int").alias("borehole_id")), ["report"], "inner", ["kind", "depth"])
+    reports = owned.groupBy("borehole_id").agg(
+        F.col("borehole_id").alias("nzgd_id"), F.max("efficiency").alias("efficiency"), F.element_at(F.split(F.min("report"), "/"), -1).alias("source_file")
+    )
+    counts = owned.where("kind = 'spt'").select("borehole_id", "depth", "n")
+    soils = owned.where("kind = 'soil'").select(F.col("borehole_id").alias("report_id"), F.col("depth").alias("top_depth"), F.array_sort("soil_types").alias("soil_types"))
+    soils = cut(load.surrogate_ids(soils, ["report_id", "top_depth", "soil_types"], "measurement_id"))
+    named = soils.select(F.col("measurement_id").alias("soil_measurement_id"), F.explode("soil_types").alias("soil"))
+    bridge = load.encode(named, "soil", load.constant_dimension(spark, K.SOIL_TYPES), "soil_type_id").where("soil_type_id is not null")
+    return {
+        "sptreport": conform(reports, "sptreport"),
+        "sptmeasurements": conform(load.surrogate_ids(counts, ["borehole_id", "depth", "n"], "measurement_id"), "sptmeasurements"),
+        "soilmeasurements": conform(soils, "soilmeasurements"),
+        "soilmeasurementsoiltype": conform(bridge.distinct(), "soilmeasurementsoiltype"),
+    }

@@ -24,9 +24,10 @@ from pyspark.sql import types as T
 from stratakit.session import cut
 
 EARTH_RADIUS_M = 6_371_008.8
-#: The sample that shapes the quadtree has at most about this many sites.
-SAMPLE_SITES = 20_000
-#: Leaves the quadtree aims at, per sample, and probes per block of a crowded leaf.
+#: The sample that shapes the quadtree has at most about this many sites, and so many per leaf it aims at.
+SAMPLE_SITES, SAMPLE_PER_LEAF = 20_000, 64
+#: Fewest leaves the quadtree aims at; with more sites than fill these, a leaf is to hold ``BLOCK_PROBES``. Probes per block of a
+#: crowded leaf.
 TARGET_LEAVES, BLOCK_PROBES = 256, 50_000
 NODE = 16
 
@@ -136,15 +137,21 @@ def usable_positions(records: DataFrame, window: tuple[float, float, float, floa
 
 
 def fit_quadtree(sites: DataFrame, window: tuple[float, float, float, float], metres: float) -> Quadtree:
-    """The partitioning, shaped by a sample of at most about ``SAMPLE_SITES`` sites; it decides no result."""
+    """The partitioning, shaped by a sample; it decides no result.
+
+    The number of leaves follows the number of sites, so that a leaf holds about ``BLOCK_PROBES`` whatever their number, and the sample has
+    ``SAMPLE_PER_LEAF`` sites for each (a billion sites: 20,000 leaves, 1.3 million sampled positions of 16 bytes).
+    """
     n = sites.count()
+    leaves = max(TARGET_LEAVES, -(-n // BLOCK_PROBES))
+    wanted = max(SAMPLE_SITES, leaves * SAMPLE_PER_LEAF)
     sample = sites.select("lon", "lat")
-    if n > SAMPLE_SITES:
-        sample = sample.sample(SAMPLE_SITES / n, 11)
+    if n > wanted:
+        sample = sample.sample(wanted / n, 11)
     points = sample.toPandas()
     worst = np.array([max(abs(window[1]), abs(window[3]))])
     smallest = 2.5 * float(max(reach(worst, metres)[0][0], reach(worst, metres)[1][0]))
-    capacity = max(64, len(points) // TARGET_LEAVES)
+    capacity = max(SAMPLE_PER_LEAF, len(points) // leaves)
     return Quadtree(points["lon"].to_numpy(float), points["lat"].to_numpy(float), window, smallest, capacity)
 
 

@@ -14,27 +14,29 @@ def _key(path: str, sheet: Column) -> Column:
 
 
 def grids(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(lines: sheet_key, row, cells; failures; files) of all text files and workbooks below ``path``."""
-    files = text.list_files(spark, path)
+    """(lines: sheet_key, row, cells; failures; all files) of all text files and workbooks below ``path``; refused files are not opened."""
+    listed = text.list_files(spark, path)
+    files = listed.join(text.refused(listed.drop("content")).select("path"), "path", "left_anti")
     lines, unsplit = text.grid(text.file_lines(files))
     flat = lines.select(_key("path", F.lit("0")).alias("sheet_key"), "row", "cells")
     cells, broken = excel.workbook_grids(files)
     all_ = flat.unionByName(cells.select(_key("path", F.col("sheet")).alias("sheet_key"), "row", "cells"))
     empty = files.where(F.col("suffix").isin(".csv", ".txt") & (F.col("length") == 0)).select("path", F.lit("no_data").alias("category"), F.lit("empty file").alias("details"))
     failures = unsplit.unionByName(empty).select(_key("path", F.lit("0")).alias("sheet_key"), "category", "details")
-    return all_, failures.unionByName(broken.select(_key("path", F.col("sheet")).alias("sheet_key"), "category", "details")), files
+    return all_, failures.unionByName(broken.select(_key("path", F.col("sheet")).alias("sheet_key"), "category", "details")), listed
 
 
 def soundings(spark: SparkSession, path: str, strict: bool = False) -> tuple[DataFrame, DataFrame]:
     """(measurements, failures) of every sounding below ``path``, one directory per record: scan, choose columns, truncate, condition, drop
     contained sheets, number the rest."""
     lines, unread, files = grids(spark, path)
+    opened = files.join(text.refused(files.drop("content")).select("path"), "path", "left_anti")
+    texts = cut(opened.where("suffix = '.ags'").select("path", text.decode(F.col("content")).alias("text")))
     files = cut(files.drop("content"))
     good, failed, chosen = sheets.extract_named(cut(lines), "sheet_key")
     good = good.select("sheet_key", F.col("row").cast("long").alias("seq"), "depth", "qc", "fs", F.col("u").alias("u2"))
     names = chosen.groupBy("sheet_key").agg(*[F.max(F.when(F.col("parameter") == p, F.col("name"))).alias(f"{c}_name") for p, c in (("depth", "depth"), ("qc", "qc"), ("fs", "fs"), ("u", "u2"))])
-    texts = text.list_files(spark, path, "*.[aA][gG][sS]").select("path", text.decode(F.col("content")).alias("text"))
-    cone, cone_names, cone_failed = ags.cone_tests(cut(texts))
+    cone, cone_names, cone_failed = ags.cone_tests(texts)
     key = _key("path", F.lit("0")).alias("sheet_key")
     cone = cone.where(conditioning.count_numbers(["depth", "qc", "fs", "u"]) >= 3)
     good = good.unionByName(cone.select(key, F.col("row").cast("long").alias("seq"), "depth", "qc", "fs", F.col("u").alias("u2")))

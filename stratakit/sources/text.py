@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from fnmatch import fnmatch
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from stratakit import constants as K
 from stratakit.operators import sheets
+from stratakit.session import salted_join
 
 
 def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
@@ -46,17 +48,27 @@ def empty_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     return spark.createDataFrame(empty, "path string")
 
 
-def listing_failures(files: DataFrame, special: dict[str, str] | None = None) -> DataFrame:
-    """Failure rows that need no content: records with nothing but nondata files, names without ``_``, known special cases."""
+def refused(files: DataFrame, special: Mapping[str, tuple[str, str]] = K.SPECIAL_CASES) -> DataFrame:
+    """(path, record, file_name, category, details) of data files that are never opened: names without ``_`` and known special cases.
+
+    A file belongs to the record that the first two parts of its name give.
+    """
+    parts = F.split("file_name", "_")
+    named = F.concat_ws("_", parts[0], F.try_element_at(parts, F.lit(2)))
+    case = lambda k: F.create_map(*[F.lit(x) for name, pair in special.items() for x in (name, pair[k])])[named]
+    odd = ~F.col("file_name").contains("_")
+    data = files.where(F.col("kind").isin("spreadsheet", "ags")).select(
+        "path", "record", "file_name", F.when(odd, "bad_file_name_format").otherwise(case(0)).alias("category"),
+        F.when(odd, F.concat("file_name", F.lit(" has no record name"))).otherwise(case(1)).alias("details"),
+    )
+    return data.where("category is not null")
+
+
+def listing_failures(files: DataFrame, special: Mapping[str, tuple[str, str]] = K.SPECIAL_CASES) -> DataFrame:
+    """Failure rows that need no content: records with nothing but nondata files, and the files of :func:`refused`."""
     by_record = files.groupBy("record").agg(F.count_if(F.col("kind").isin("spreadsheet", "ags")).alias("n"), F.min("file_name").alias("file_name"))
     none = by_record.where("n = 0").select("record", "file_name", F.lit("no_data_files").alias("category"), F.lit("only nondata files").alias("details"))
-    data = files.where(F.col("kind").isin("spreadsheet", "ags"))
-    bad = data.where(~F.col("file_name").contains("_")).select("record", "file_name", F.lit("bad_file_name_format").alias("category"), F.lit("").alias("details"))
-    out = none.unionByName(bad)
-    for name, category in (special or {}).items():
-        hit = data.where(F.col("record") == name)
-        out = out.unionByName(hit.select("record", "file_name", F.lit(category).alias("category"), F.lit("known special case").alias("details")))
-    return out
+    return none.unionByName(refused(files, special).drop("path"))
 
 
 def decode(content: Column) -> Column:
@@ -75,7 +87,7 @@ def grid(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """((path, row, cells), failures): lines cut at each file's most frequent delimiter."""
     counts = sheets.delimiter_counts(lines, "path", "line")
     failures = counts.where("delimiter is null").select("path", F.lit("no_data").alias("category"), F.lit("no_delimiter_found").alias("details"))
-    known = lines.join(counts.where("delimiter is not null"), "path")
+    known = salted_join(lines, counts.where("delimiter is not null"), ["path"], "inner", ["row"])
     clean = F.when(F.col("delimiter").isin(",", ";"), sheets.without_quoted_delimiters(F.col("line"), F.col("delimiter"))).otherwise(F.col("line"))
     return known.select("path", "row", sheets.split_cells(clean, F.col("delimiter")).alias("cells")), failures
 

@@ -159,7 +159,7 @@ def test_text_file_end_to_end(spark, tmp_path):
     files = text.list_files(spark, str(tmp_path))
     assert {(r["file_name"], r["kind"], r["nzgd_id"]) for r in files.collect()} == {("CPT_17_a.csv", "spreadsheet", 17), ("CPT_17_b.txt", "spreadsheet", 17), ("scan.pdf", "nondata", 18), ("CPT_18_c.csv", "spreadsheet", 18)}
     assert text.listing_failures(files.where("suffix = '.pdf'")).head()["category"] == "no_data_files"
-    assert text.listing_failures(files, {"CPT_17": "corrupt_file"}).count() == 2
+    assert text.listing_failures(files, {"CPT_17": ("corrupt_file", "empty columns")}).count() == 2
 
 
 def test_cells(spark):
@@ -232,6 +232,14 @@ def test_depth_fit(spark):
     assert {(r["report"], r["category"]) for r in got if r["kind"] == "failure"} == {("q", "no_depth_label"), ("p", "no_depth_scale")}
 
 
+def test_numbers_left_aligned_under_a_wide_label(spark):
+    page = [("Depth (m)", 100, 160, 700)] + [(str(k), 101, 107, 650 - 20 * k) for k in range(1, 6)] + [("N = 7", 300, 330, 650 - 20 * 2.5), ("3", 400, 410, 500)]
+    rows = [("w", 0, float(y), float(y) + 8, float(a), float(b), t) for t, a, b, y in page]
+    got = B.analyse(spark.createDataFrame(rows, "report string, page int, y0 double, y1 double, x0 double, x1 double, text string")).collect()
+    assert [(r["depth"], r["n"]) for r in got if r["kind"] == "spt"] == [(2.5, 7)]
+    assert not [r for r in got if r["kind"] == "failure"]
+
+
 AGS = '"GROUP","SCPT"\r\n"HEADING","LOCA_ID","SCPT_DPTH","SCPT_RES","SCPT_FRES","SCPT_PWP2"\r\n"UNIT","","m","MPa","kPa","kPa"\r\n"TYPE","ID","2DP","2DP","2DP","2DP"\r\n"DATA","a","0.1","1.5","20",""\r\n"DATA","a","0.2","1.7","x","3"\r\n\r\n'
 BH = '"GROUP","ISPT"\n"HEADING","ISPT_TOP","ISPT_MAIN"\n"UNIT","m",""\n"TYPE","2DP","X"\n"DATA","1.5","12"\n"GROUP","GEOL"\n"HEADING","GEOL_TOP","GEOL_DESC"\n"DATA","0.0","Brown ""hard"" CLAY, with SAND"\n"DATA","2.0","fill"\n"GROUP","HORN"\n"HEADING","T"\n"DATA","Hammer energy ratio 65%"'
 
@@ -304,6 +312,45 @@ def test_keys_and_references(spark):
     assert [r[0] for r in fk.collect()] == [5]
 
 
+def test_store_loaders(spark, tmp_path):
+    """Every loader of the store; no foreign key is left without a target."""
+    (tmp_path / "m.csv").write_text(
+        "InvestigationId,nzgd_id,Latitude,Longitude,region,district,city,suburb,CreatedOn,LastModifiedOn,model_vs30_foster_2019,model_vs30_std_foster_2019,model_gwl_westerhoff_2018,x\n"
+        'A,7,-43.5,172.6,R1,D1,C1,S1,2020-01-02T10:00:00,2021-03-04,300,20,-1.5,y\n"B, old",8,bad,,R2,D9,,,02/03/2020,,,,,\nB,8,-44.0,171.0,R2,,,,2020-05-06,,,,,\nC,9,-43,172,R1,,,,,,,,,\nD,,1,2,,,,,,,,,,\n'
+    )
+    from stratakit.sources.metadata import read_metadata
+
+    meta = read_metadata(spark, str(tmp_path / "m.csv"))
+    places = {p: L.dimension_keys(meta, p) for p in ("region", "district", "city", "suburb")}
+    cpt, spt = (spark.createDataFrame([(k,) for k in ks], "nzgd_id int") for ks in ((7, 7), (8,)))
+    records = {r["nzgd_id"]: r for r in L.investigation_records(meta, places, cpt, spt).collect()}
+    assert set(records) == {7, 8} and (records[7]["type_id"], records[8]["type_id"]) == (1, 2)
+    assert str(records[7]["investigation_date"]) == "2020-01-02" and records[8]["original_investigation_name"] == "B" and records[8]["latitude"] == -44.0
+    assert records[7]["region_id"] == 1 and records[8]["region_id"] == 2 and records[8]["district_id"] is None and records[7]["model_vs30_stddev_foster_2019"] == 20.0
+
+    mapping = spark.createDataFrame([(1, 7, "7_AND_a.csv_AND_0"), (2, 7, "7_AND_b.csv_AND_0"), (3, 8, "8_AND_c.csv_AND_0"), (4, 8, "broken")], "cpt_id long, nzgd_id int, sheet_key string")
+    data = spark.createDataFrame([(7, "a.csv", "0", k, k / 2, 1.0, None, 0.5) for k in range(3)] + [(8, "z.csv", "0", 0, 9.0, 1.0, 1.0, 1.0)], "nzgd_id int, file_name string, sheet_name string, seq int, depth double, qc double, fs double, u double")
+    rows = L.cpt_measurements(mapping, data)
+    assert [tuple(r) for r in rows.orderBy("measurement_id").collect()] == [(1, 1, 0.0, 1.0, None, 0.5), (2, 1, 0.5, 1.0, None, 0.5), (3, 1, 1.0, 1.0, None, 0.5)]
+    twice = L.back_references(spark.createDataFrame([(1, "7_AND_b.csv_AND_0")], "duplicate_of long, removed_duplicates string"), mapping)
+    full = mapping.withColumns({"termination_reason": F.lit("refusal"), "ground_water_level": F.lit(2.0), "gwl_method": F.lit("dipper"), "tip_net_area_ratio": F.lit(0.8), "source_file": F.col("sheet_key")})
+    flags = spark.createDataFrame([(1, "depth cm", ""), (1, "depth cm", "")], "cpt_id long, explicit_unit_conversions string, inferred_unit_conversions string")
+    dims = L.fixed_dimensions(spark)
+    models = meta.select("nzgd_id", F.col("model_gwl_westerhoff_2018").alias("model_gwl"))
+    got = {r["cpt_id"]: r for r in L.cpt_reports(full, rows, models, dims["terminationreason"], dims["cptgroundwaterlevelmethod"], flags, twice).collect()}
+    assert (got[1]["has_cpt_data"], got[1]["max_depth"], got[1]["did_explicit_unit_conversion"], got[1]["did_inferred_unit_conversion"], got[1]["gwl_residual"]) == (1, 1.0, 1, 0, 3.5)
+    assert (got[2]["has_cpt_data"], got[2]["max_depth"], got[2]["min_depth"], got[2]["cpt_data_duplicate_of_cpt_id"]) == (0, 1.0, 0.0, 1)
+    assert (got[3]["max_depth"], got[3]["cpt_data_duplicate_of_cpt_id"], got[3]["termination_reason_id"], got[3]["gwl_method_id"]) == (None, None, 1, 4)
+    assert {n: d.count() for n, d in dims.items()} == {"type": 2, "terminationreason": 2, "cptgroundwaterlevelmethod": 6, "spttovs30hammertype": 3, "cpttovscorrelation": 7, "spttovscorrelation": 2, "vstovs30correlation": 2, "soiltypes": 6}
+
+    found = B.analyse(spark.createDataFrame(boxes(), "report string, page int, y0 double, y1 double, x0 double, x1 double, text string"))
+    ids = found.select("report").distinct().withColumn("borehole_id", F.abs(F.hash("report")) % 1000)
+    store = B.store_reports(spark, found, ids)
+    assert {n: d.count() for n, d in store.items()} == {"sptreport": 1, "sptmeasurements": 2, "soilmeasurements": 1, "soilmeasurementsoiltype": 2}
+    for child, column, parent, key in (("sptmeasurements", "borehole_id", "sptreport", "borehole_id"), ("soilmeasurements", "report_id", "sptreport", "borehole_id"), ("soilmeasurementsoiltype", "soil_measurement_id", "soilmeasurements", "measurement_id")):
+        assert L.missing_references(store[child], column, store[parent], key).count() == 0
+
+
 def test_store(spark, tmp_path):
     where = str(tmp_path / "store")
     schemas.create_store(spark, where)
@@ -358,12 +405,14 @@ def test_pipelines(spark, tmp_path):
     (rec / "CPT_17_c.xlsx").write_bytes(workbook([["Depth", "qc", "fs", "u2"], *[[k + 0.5, k + 0.25, 0.25, 0.5] for k in range(6)]]))
     (rec / "CPT_17_d.ags").write_text(AGS)
     (rec / "CPT_17_e.csv").write_text("word\nother")
+    (rec / "noname.csv").write_text("\n".join([*head, *body]))
+    (rec / "CPT_59414_a.csv").write_text("\n".join([*head, *body]))
     out, failed = pipelines.soundings(spark, str(tmp_path))
     rows = out.collect()
     assert {(r["file_name"], r["sheet_name"], r["investigation_number"]) for r in rows} == {("CPT_17_a.csv", "0", 0), ("CPT_17_c.xlsx", "Sheet_1", 1), ("CPT_17_d.ags", "0", 2)}
     a = sorted((r for r in rows if r["file_name"] == "CPT_17_a.csv"), key=lambda r: r["seq"])
     assert len(a) == 8 and a[0]["depth"] == pytest.approx(0.1) and a[0]["u"] == pytest.approx(0.001) and "CPT_17_b.csv" in a[0]["removed_duplicates"]
-    assert {(r["file_name"], r["category"]) for r in failed.collect()} == {("CPT_17_e.csv", "no_data")}
+    assert {(r["file_name"], r["category"]) for r in failed.collect()} == {("CPT_17_e.csv", "no_data"), ("noname.csv", "bad_file_name_format"), ("CPT_59414_a.csv", "corrupt_file")}
     got = {r["file_name"]: r for r in pipelines.scalars(spark, str(tmp_path)).collect()}["CPT_17_a.csv"]
     assert (got["nzgd_id"], got["termination_reason"], got["ground_water_level"], got["gwl_method"], got["tip_net_area_ratio"]) == (17, "target_depth", 1.5, "measured", 0.8)
     (rec / "BH_9_x.ags").write_text(BH)
