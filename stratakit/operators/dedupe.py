@@ -1,7 +1,9 @@
 """Duplicate and contained sheets of one record, found by joins instead of pairwise array comparison.
 
-A sheet's rows get a rank. Two sheets of a record are joined on equal rows; the difference of ranks is the offset at which
-one would lie in the other. A sheet lies in another when all its rows meet there at one offset. No sheet is ever held in one row.
+A sheet's rows get a rank. Each sheet is looked for by its anchor, the row that is rarest in the record: where another sheet has
+an equal row, the difference of ranks is the offset at which the first would lie in it. A candidate counts when all rows meet there at
+that offset, which one equality join on (sheet, rank) tells. Rows that a record repeats over and over are never paired with one
+another, and no sheet is ever held in one row.
 
 Modes: ``exact`` (same rows), ``prefix`` (offset 0) and ``contiguous`` (any offset). A sheet that lies in several others goes for the
 longest, then the first. Rows that are all zero or null are left out before comparison; a sheet without other rows vanishes.
@@ -16,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from stratakit.operators.conditioning import CHUNK, READINGS, nonzero_rows
+from stratakit.session import cut, salted_join
 
 
 def ranked_rows(df: DataFrame, sheet: str, seq: str, columns: Sequence[str] = READINGS) -> DataFrame:
@@ -39,23 +42,26 @@ def contained_sheets(df: DataFrame, record: str, sheet: str, seq: str, mode: str
     several = live.select(record, sheet).distinct().groupBy(record).count().where("count > 1").select(record)
     rows = ranked_rows(live.join(several, record, "left_semi"), sheet, seq, columns)
     rows = rows.withColumn("h", F.xxhash64(*[x for c in columns for x in (F.col(c) + F.lit(0.0), F.col(c).isNull())]))
+    rows = cut(rows.select(record, sheet, "rank", "h", *columns))
     sizes = rows.groupBy(record, sheet).agg(F.count("*").alias("n"))
-    small, large = rows.alias("s"), rows.alias("l")
-    meet = (F.col(f"s.{record}") == F.col(f"l.{record}")) & (F.col("s.h") == F.col("l.h")) & (F.col(f"s.{sheet}") != F.col(f"l.{sheet}"))
-    same = meet
-    for c in columns:
-        same = same & F.col(f"s.{c}").eqNullSafe(F.col(f"l.{c}"))
-    met = small.join(large, same).groupBy(
-        F.col(f"s.{record}").alias(record), F.col(f"s.{sheet}").alias("x"), F.col(f"l.{sheet}").alias("y"),
-        (F.col("l.rank") - F.col("s.rank")).alias("at"),
-    ).agg(F.count("*").alias("met"))
-    nx = sizes.select(F.col(record), F.col(sheet).alias("x"), F.col("n").alias("nx"))
-    ny = sizes.select(F.col(record), F.col(sheet).alias("y"), F.col("n").alias("ny"))
-    whole = met.join(nx, [record, "x"]).join(ny, [record, "y"]).where("met = nx")
+    counts = rows.groupBy(record, "h").agg(F.count("*").alias("f"))
+    anchors = salted_join(rows.select(record, sheet, "rank", "h"), counts, [record, "h"], "inner", ["rank"])
+    anchors = anchors.groupBy(record, sheet).agg(F.min_by(F.struct("rank", "h"), F.struct("f", "rank")).alias("a"), F.count("*").alias("nx"))
+    anchors = anchors.select(record, F.col(sheet).alias("x"), "nx", F.col("a.rank").alias("a_rank"), F.col("a.h").alias("h"))
+    there = rows.select(record, F.col(sheet).alias("y"), "rank", "h")
+    met = anchors.join(there, [record, "h"]).where("x <> y").withColumn("at", F.col("rank") - F.col("a_rank")).where("at >= 0")
+    met = met.join(sizes.select(record, F.col(sheet).alias("y"), F.col("n").alias("ny")), [record, "y"])
+    met = met.where("at + nx <= ny and (nx < ny or y < x)")
     if mode == "exact":
-        whole = whole.where("nx = ny")
+        met = met.where("nx = ny")
     if mode != "contiguous":
-        whole = whole.where("at = 0")
-    lower = whole.where("nx < ny or (nx = ny and y < x)")
+        met = met.where("at = 0")
+    candidates = cut(met.select(record, "x", "y", "at", "nx", "ny").distinct())
+    asked = salted_join(rows.withColumnRenamed(sheet, "x").drop("h"), candidates, [record, "x"], "inner", ["rank"])
+    s, l = asked.withColumn("rank", F.col("rank") + F.col("at")).alias("s"), rows.withColumnRenamed(sheet, "y").alias("l")
+    same = (F.col(f"s.{record}") == F.col(f"l.{record}")) & (F.col("s.y") == F.col("l.y")) & (F.col("s.rank") == F.col("l.rank"))
+    for c in columns:
+        same = same & F.col(f"s.{c}").eqNullSafe(F.col(f"l.{c}"))
+    whole = s.join(l, same).groupBy(*[F.col(f"s.{c}").alias(c) for c in (record, "x", "y", "at", "nx", "ny")]).agg(F.count("*").alias("met")).where("met = nx")
     best = F.min_by("y", F.struct(-F.col("ny"), "y")).alias("kept_in")
-    return lower.groupBy(record, F.col("x").alias(sheet)).agg(best)
+    return whole.groupBy(record, F.col("x").alias(sheet)).agg(best)

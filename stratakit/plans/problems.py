@@ -196,7 +196,17 @@ def p3_basis(spark: SparkSession, d: str) -> DataFrame:
     return units.unit_basis(_sounding_units(spark, d))
 
 
-@registry.query()
+_FACTOR = "CASE {u} " + " ".join(f"WHEN '{u}' THEN {f}::DOUBLE" for u, f in units.FACTORS.items()) + " END"
+
+
+def _common(column: str, quantity: str, common: str) -> str:
+    unit = f"max(CASE WHEN quantity = '{quantity}' THEN coalesce(unit, '{common}') END)"
+    return f"{_FACTOR.format(u=unit)} AS f_{column}"
+
+
+@registry.query(rf"""WITH {_UNITS}, f AS (SELECT cpt_id, {_common('depth', 'depth', 'm')}, {_common('qc', 'qc', 'mpa')}, {_common('fs', 'fs', 'mpa')}, {_common('u2', 'u', 'mpa')} FROM long GROUP BY cpt_id)
+  SELECT measurement_id, cpt_id, abs(CASE WHEN depth NOT IN {_CODES} THEN depth * f_depth END) AS depth, {', '.join(f"CASE WHEN {c} NOT IN {_CODES} THEN {c} * f_{c} END AS {c}" for c in ('qc', 'fs', 'u2'))}
+  FROM cptmeasurements LEFT JOIN f USING (cpt_id)""")
 def p3_measurements(spark: SparkSession, d: str) -> DataFrame:
     """Every measurement in m and MPa."""
     return units.convert_soundings(table(spark, d, "cptmeasurements"), _sounding_units(spark, d))

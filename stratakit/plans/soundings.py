@@ -13,7 +13,7 @@ from stratakit.functions.numbers import nearest_power_of_ten, real, round_to_qua
 from stratakit.operators import conditioning as C
 from stratakit.operators import dedupe
 from stratakit.plans.registry import Registry
-from stratakit.session import table
+from stratakit.session import salted_join, table
 
 registry = Registry()
 
@@ -148,9 +148,14 @@ def depth_trend_fit(spark: SparkSession, d: str) -> DataFrame:
     return fit.where("hi > lo and n > 2").select("cpt_id", "slope", "intercept")
 
 
-_SHEETS = f"""{_BASE}, k AS (SELECT cpt_id, min(nzgd_id) AS nzgd_id FROM cptreport GROUP BY cpt_id),
-v AS (SELECT nzgd_id, cpt_id, measurement_id, coalesce(depth::VARCHAR, 'x') || '|' || coalesce(qc::VARCHAR, 'x') || '|' || coalesce(fs::VARCHAR, 'x') || '|' || coalesce(u2::VARCHAR, 'x') AS r
-  FROM m JOIN k USING (cpt_id) WHERE nzgd_id IS NOT NULL AND (coalesce(depth, 0) <> 0 OR coalesce(qc, 0) <> 0 OR coalesce(fs, 0) <> 0 OR coalesce(u2, 0) <> 0)),
+_SHEETS = f"""{_BASE}, own AS (SELECT cpt_id, min(nzgd_id) AS nzgd_id FROM cptreport GROUP BY cpt_id),
+b AS (SELECT cpt_id, min(measurement_id) AS lo, max(measurement_id) AS hi FROM m GROUP BY cpt_id),
+e AS (SELECT m.*, (hi - lo) // 3 AS third, lo, hi FROM m JOIN b USING (cpt_id)),
+again AS (SELECT cpt_id, measurement_id, depth, qc, fs, u2 FROM m
+  UNION ALL SELECT cpt_id + 1000000000, measurement_id, depth, qc, fs, u2 FROM e WHERE cpt_id % 3 = 0 OR cpt_id % 3 = 1 AND measurement_id < hi - third
+    OR cpt_id % 3 = 2 AND measurement_id BETWEEN lo + third AND hi - third),
+v AS (SELECT nzgd_id, again.cpt_id, measurement_id, coalesce(depth::VARCHAR, 'x') || '|' || coalesce(qc::VARCHAR, 'x') || '|' || coalesce(fs::VARCHAR, 'x') || '|' || coalesce(u2::VARCHAR, 'x') AS r
+  FROM again JOIN own ON own.cpt_id = again.cpt_id % 1000000000 WHERE nzgd_id IS NOT NULL AND (coalesce(depth, 0) <> 0 OR coalesce(qc, 0) <> 0 OR coalesce(fs, 0) <> 0 OR coalesce(u2, 0) <> 0)),
 a AS (SELECT nzgd_id, cpt_id, ';' || string_agg(r, ';' ORDER BY measurement_id) || ';' AS t, count(*) AS n FROM v GROUP BY ALL),
 p AS (SELECT s.nzgd_id, s.cpt_id, l.cpt_id AS y, s.n AS nx, l.n AS ny FROM a s JOIN a l ON s.nzgd_id = l.nzgd_id AND s.cpt_id <> l.cpt_id
   AND (s.n < l.n OR s.n = l.n AND l.cpt_id < s.cpt_id) AND MEET)
@@ -158,8 +163,15 @@ SELECT nzgd_id, cpt_id, arg_min(y, (-ny, y)) AS kept_in FROM p GROUP BY ALL"""
 
 
 def _contained(spark: SparkSession, d: str, mode: str) -> DataFrame:
+    """Every sounding and, as further sheets of its record, each once more: whole, without its last third, or its middle third."""
     record = table(spark, d, "cptreport").where("cpt_id is not null").groupBy("cpt_id").agg(F.min("nzgd_id").alias("nzgd_id"))
-    return dedupe.contained_sheets(soundings(spark, d).join(record, "cpt_id"), "nzgd_id", "cpt_id", "measurement_id", mode)
+    rows = soundings(spark, d)
+    ends = rows.groupBy("cpt_id").agg(F.min("measurement_id").alias("lo"), F.max("measurement_id").alias("hi"), F.expr("(max(measurement_id) - min(measurement_id)) div 3").alias("third"))
+    known = salted_join(rows, ends.join(record, "cpt_id"), ["cpt_id"], "inner", ["measurement_id"])
+    kind, at = F.col("cpt_id") % 3, F.col("measurement_id")
+    part = known.where((kind == 0) | ((kind == 1) & (at < F.col("hi") - F.col("third"))) | ((kind == 2) & at.between(F.col("lo") + F.col("third"), F.col("hi") - F.col("third"))))
+    both = known.unionByName(part.withColumn("cpt_id", F.col("cpt_id") + 1_000_000_000)).drop("lo", "hi", "third")
+    return dedupe.contained_sheets(both, "nzgd_id", "cpt_id", "measurement_id", mode)
 
 
 @registry.query("WITH " + _SHEETS.replace("MEET", "s.t = l.t"))

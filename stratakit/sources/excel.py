@@ -11,6 +11,7 @@ import re
 import zipfile
 from collections.abc import Iterator
 from xml.etree import ElementTree
+from xml.sax.saxutils import escape
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -61,6 +62,19 @@ def read_xlsx(content: bytes) -> Iterator[tuple[str, list[list[str | None]]]]:
             yield s.get("name", "").replace("-", "_"), rows
 
 
+def write_xlsx(sheet: str, rows: list[list[str | None]]) -> bytes:
+    """A workbook with one sheet of text cells; None is a blank cell. At most 26 columns."""
+    cell = lambda i, j, v: f'<c r="{chr(65 + j)}{i}" t="inlineStr"><is><t>{escape(v)}</t></is></c>'
+    body = "".join(f'<row r="{i}">' + "".join(cell(i, j, v) for j, v in enumerate(r) if v is not None) + "</row>" for i, r in enumerate(rows, 1))
+    link = _REL[1:].split("}")[0]
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("xl/workbook.xml", f'<workbook xmlns="{_NS["m"]}" xmlns:r="{link}"><sheets><sheet name="{escape(sheet)}" sheetId="1" r:id="rId1"/></sheets></workbook>')
+        z.writestr("xl/_rels/workbook.xml.rels", '<Relationships><Relationship Id="rId1" Target="worksheets/sheet1.xml"/></Relationships>')
+        z.writestr("xl/worksheets/sheet1.xml", f'<worksheet xmlns="{_NS["m"]}"><sheetData>{body}</sheetData></worksheet>')
+    return out.getvalue()
+
+
 def _read_any(path: str, content: bytes) -> Iterator[tuple[str, list[list[str | None]]]]:
     if content[:4] == b"PK\x03\x04":
         yield from read_xlsx(content)
@@ -73,7 +87,9 @@ def _read_any(path: str, content: bytes) -> Iterator[tuple[str, list[list[str |
 
 
 def _grids(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    columns = ["path", "sheet", "row", "cells", "category"]
     for pdf in batches:
+        held: list[tuple] = []
         for path, content in zip(pdf["path"], pdf["content"]):
             out = []
             try:
@@ -85,7 +101,11 @@ def _grids(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                         out += [(path, sheet, i, r, None) for i, r in filled]
             except Exception:  # noqa: BLE001  whatever a broken workbook raises, it is that file's failure
                 out = [(path, "", -1, None, "invalid_excel_file")]
-            yield pd.DataFrame(out, columns=["path", "sheet", "row", "cells", "category"])
+            held += out
+            if len(held) > 20_000:
+                yield pd.DataFrame(held, columns=columns)
+                held = []
+        yield pd.DataFrame(held, columns=columns)
 
 
 def workbook_grids(files: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -3,10 +3,10 @@
 import pytest
 from oracle import same
 
-from stratakit.plans import grids, loading, miners, problems, soundings
+from stratakit.plans import grids, loading, logs, miners, problems, soundings
 
 FOLDER = "/root/testdata/sf0.001"
-ALL = {n: (f, r.sql.get(n)) for r in (problems.registry, soundings.registry, grids.registry, miners.registry, loading.registry) for n, f in r.queries.items()}
+ALL = {n: (f, r.sql.get(n)) for r in (problems.registry, soundings.registry, grids.registry, miners.registry, loading.registry, logs.registry) for n, f in r.queries.items()}
 
 
 @pytest.mark.parametrize("name", sorted(ALL))
