@@ -79,10 +79,10 @@ def promote_schemas(schemas: DataFrame, approved: Sequence[str]) -> DataFrame:
 
 
 def schema_changes(schemas: DataFrame, quantities: Sequence[str]) -> DataFrame:
-    """(file_path, quantity, change) of each file against the one before it in its feed."""
+    """(file_path, quantity, change) of each file against the one before it in its feed, by time and then by name."""
     now = schemas.where("feed is not null and created_at is not null")
-    now = now.select("file_path", "feed", "created_at", F.struct(*quantities).alias("cur"))
-    seen = chunked_lag(now, ["feed"], "created_at", F.to_date("created_at"), F.col("cur"), "old").where("old is not null")
+    now = now.select("file_path", "feed", "created_at", F.struct("created_at", "file_path").alias("_at"), F.struct(*quantities).alias("cur"))
+    seen = chunked_lag(now, ["feed"], "_at", F.to_date("created_at"), F.col("cur"), "old").where("old is not null")
     pairs = F.array(*[
         F.struct(F.lit(q).alias("quantity"), F.col("cur")[q].alias("a"), F.col("old")[q].alias("b")) for q in quantities
     ])

@@ -43,10 +43,16 @@ def delimiter_counts(lines: DataFrame, sheet: str, text: str) -> DataFrame:
     return counts.select(sheet, pick.alias("delimiter"), most.alias("total"))
 
 
+#: Fixed value: a stretch between double or between single quotes.
+_QUOTED = r"\"[^\"]*\"|'[^']*'"
+
+
 def without_quoted_delimiters(text: Column, delimiter: Column) -> Column:
-    """Delete the delimiter between double quotes, and the quotes."""
-    parts = F.split(text, '"')
-    return F.array_join(F.transform(parts, lambda x, i: F.when(i % 2 == 1, F.replace(x, delimiter, F.lit(""))).otherwise(x)), "")
+    """Delete the delimiter between double or single quotes, and the double quotes around it; an unmatched quote stays as it is."""
+    quoted = F.regexp_extract_all(text, F.lit(_QUOTED), F.lit(0))
+    clean = F.transform(quoted, lambda q: F.replace(F.replace(q, delimiter, F.lit("")), F.lit('"'), F.lit("")))
+    joined = F.array_join(F.transform(F.split(text, _QUOTED, -1), lambda gap, i: F.concat(gap, F.coalesce(F.get(clean, i), F.lit("")))), "")
+    return F.when(text.contains('"') | text.contains("'"), joined).otherwise(text)
 
 
 def split_cells(text: Column, delimiter: Column) -> Column:
@@ -207,12 +213,16 @@ def header_spans(facts: DataFrame, headers: DataFrame, sheet: str) -> DataFrame:
     return ends.select(sheet, "header_row", first.alias("first"), last.alias("last"))
 
 
-def merged_names(lines: DataFrame, spans: DataFrame, sheet: str) -> DataFrame:
-    """(sheet, col, name): names of the header's lines joined from top to bottom with ``_``; lower case."""
+def merged_names(lines: DataFrame, spans: DataFrame, sheet: str, workbook: Column | None = None) -> DataFrame:
+    """(sheet, col, name): names of the header's lines in lower case, joined from top to bottom with ``_``; in sheets of a ``workbook``
+    the lowest line's name comes first, and blanks join."""
     top = salted_join(lines, spans, [sheet], "inner", ["row"]).where(F.col("row").between(F.col("first"), F.col("last")))
     cells = top.select(sheet, "row", F.posexplode("cells").alias("col", "raw")).where("raw is not null")
-    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("row", "raw"))), lambda x: x["raw"]), "_")
-    return cells.groupBy(sheet, "col").agg(F.lower(joined).alias("name"))
+    parts = cells.groupBy(sheet, "col").agg(F.transform(F.array_sort(F.collect_list(F.struct("row", "raw"))), lambda x: x["raw"]).alias("p"))
+    name = F.array_join("p", "_")
+    if workbook is not None:
+        name = F.when(workbook, F.array_join(F.concat(F.slice("p", F.size("p"), F.lit(1)), F.slice("p", F.lit(1), F.size("p") - 1)), " ")).otherwise(name)
+    return parts.select(sheet, "col", F.lower(name).alias("name"))
 
 
 def unique_names(names: DataFrame, sheet: str) -> DataFrame:
@@ -298,16 +308,17 @@ def extract(lines: DataFrame, sheet: str) -> tuple[DataFrame, DataFrame]:
     return good, failed
 
 
-def extract_named(lines: DataFrame, sheet: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+def extract_named(lines: DataFrame, sheet: str, workbook: Column | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(measurements, failures, chosen columns) of every sheet: header search, merging, column choice, rows up to the first that is no
     data, of these the ones with three or more numbers.
 
-    ``lines``: sheet, row, cells. Failure categories: no_header_row, missing_columns, no_numeric_data.
+    ``lines``: sheet, row, cells. ``workbook`` tells the sheets of workbooks from texts, see :func:`merged_names`. Failure categories:
+    no_header_row, missing_columns, no_numeric_data.
     """
     known = line_facts(lines, sheet)
     found = cut(header_rows(known, sheet))
     spans = cut(header_spans(known, found, sheet))
-    options = parameter_columns(merged_names(lines, spans, sheet), sheet)
+    options = parameter_columns(merged_names(lines, spans, sheet, workbook), sheet)
     body = salted_join(lines, spans.select(sheet, "last"), [sheet], "inner", ["row"]).where("row > last").drop("last")
     chosen = cut(chosen_columns(options, column_facts(body, sheet), sheet))
     rows = truncate_after(measurements(body, chosen, sheet), sheet, "row", F.col("bad")).drop("bad")

@@ -21,8 +21,9 @@ delim AS (SELECT file_path, greatest(comma, sem, tab, blanks - tab) AS total, CA
   WHEN comma = greatest(comma, sem, tab, blanks - tab) THEN ',' WHEN sem = greatest(sem, tab, blanks - tab) THEN ';'
   WHEN tab = greatest(tab, blanks - tab) THEN chr(9) ELSE ' ' END AS delimiter FROM c)"""
 _CELL = rf"""{_DELIM},
-quoted AS (SELECT file_path, line_no, delimiter, CASE WHEN delimiter IN (',', ';') THEN array_to_string(list_transform(string_split(x, '"'),
-  lambda p, i: CASE WHEN i % 2 = 0 THEN replace(p, delimiter, '') ELSE p END), '') ELSE x END AS x FROM line JOIN delim USING (file_path)),
+quoted AS (SELECT file_path, line_no, delimiter, CASE WHEN delimiter IN (',', ';') THEN array_to_string(list_transform(string_split_regex(x, '"[^"]*"|''[^'']*'''),
+  lambda g, i: g || coalesce(replace(replace(q[i], delimiter, ''), '"', ''), '')), '') ELSE x END AS x
+  FROM (SELECT *, regexp_extract_all(x, '"[^"]*"|''[^'']*''') AS q FROM line) JOIN delim USING (file_path)),
 parts AS (SELECT file_path, line_no AS row, CASE WHEN delimiter = ' ' THEN string_split_regex(CASE WHEN regexp_matches(x, '^\s') THEN 'placeholder' ELSE '' END || x, '\s+')
   ELSE string_split(x, delimiter) END AS p FROM quoted),
 cell AS (SELECT file_path, row, col, raw, CASE WHEN {_NUM} THEN raw::DOUBLE END AS num FROM (

@@ -33,7 +33,7 @@ def soundings(spark: SparkSession, path: str, strict: bool = False) -> tuple[Dat
     opened = files.join(text.refused(files.drop("content")).select("path"), "path", "left_anti")
     texts = cut(opened.where("suffix = '.ags'").select("path", text.decode(F.col("content")).alias("text")))
     files = cut(files.drop("content"))
-    good, failed, chosen = sheets.extract_named(cut(lines), "sheet_key")
+    good, failed, chosen = sheets.extract_named(cut(lines), "sheet_key", F.col("sheet_key").rlike(r"(?i)\.xlsx?\n"))
     good = good.select("sheet_key", F.col("row").cast("long").alias("seq"), "depth", "qc", "fs", F.col("u").alias("u2"))
     names = chosen.groupBy("sheet_key").agg(*[F.max(F.when(F.col("parameter") == p, F.col("name"))).alias(f"{c}_name") for p, c in (("depth", "depth"), ("qc", "qc"), ("fs", "fs"), ("u", "u2"))])
     cone, cone_names, cone_failed = ags.cone_tests(texts)

@@ -10,10 +10,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-#: Largest row count a caller may hand to ``broadcast_if_small``.
-BROADCAST_ROWS = 200_000
+#: Most rows, and most bytes of them, that ``broadcast_if_small`` sends to every executor.
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 64 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,12 +43,18 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint when it has at most ``limit`` rows; otherwise unchanged, so the planner shuffles.
+    """``df`` with a broadcast hint when it has at most ``limit`` rows and ``BROADCAST_BYTES`` bytes; otherwise unchanged, so the planner
+    shuffles.
 
-    ``df`` should be the result of :func:`cut` or a table, because its rows are counted here. The count stops one
+    ``df`` should be the result of :func:`cut` or a table, because its rows are measured here. The count stops one
     past the limit.
     """
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+    fixed = 16 * len(df.columns)
+    wide = [F.octet_length(F.to_json(F.struct(f.name)) if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)) else F.col(f"`{f.name}`")) for f in df.schema.fields
+            if isinstance(f.dataType, (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType))]
+    width = sum((F.coalesce(w, F.lit(0)) for w in wide), F.lit(fixed))
+    n, size = df.limit(limit + 1).agg(F.count("*"), F.coalesce(F.sum(width), F.lit(0))).head()
+    return F.broadcast(df) if n <= limit and size <= BROADCAST_BYTES else df
 
 
 def salted_join(
