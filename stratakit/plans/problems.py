@@ -70,6 +70,12 @@ def p1_loaded(spark: SparkSession, d: str) -> DataFrame:
     return rowparse.loaded(_parsed(spark, d))
 
 
+@registry.query(f"""WITH {_KINDS} SELECT plain.line_id, i::INT AS col, c AS cell FROM plain JOIN verdict USING (line_id) WHERE reason IS NULL""")
+def p1_loaded_cells(spark: SparkSession, d: str) -> DataFrame:
+    """Every cell of the lines that load."""
+    return p1_loaded(spark, d).select("line_id", F.posexplode("fields").alias("col", "cell"))
+
+
 # ---------------------------------------------------------------- 2: schemas that drift between files
 
 _QUANTITIES = [*drift.CORE, *drift.PROMOTABLE]
@@ -119,6 +125,22 @@ def p2_table(spark: SparkSession, d: str) -> DataFrame:
     return drift.promote_lines(_ingested(spark, d))
 
 
+_NUMERIC = ["depth", "qc", "fs", "u", "inclination", "speed", "temperature"]
+
+
+@registry.query(f"""WITH {_KINDS},
+  lay AS (SELECT file_path, quantity, min(i) AS i FROM (SELECT file_path, col_index_in_line AS i, arg_min(search_term, received_at) AS search_term FROM searchforcolresults
+    WHERE col_index_in_line >= 0 GROUP BY file_path, col_index_in_line) JOIN searchterm USING (search_term) GROUP BY file_path, quantity),
+  held AS (SELECT p.line_id, quantity, c, trim(CASE d WHEN ';' THEN replace(c, ',', '.') ELSE c END, ' ') AS t FROM plain p JOIN lay l ON l.file_path = p.file_path AND l.i = p.i WHERE c <> ''),
+  typed AS (SELECT *, CASE WHEN regexp_full_match(t, '[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?') THEN t::DOUBLE END AS num,
+    CASE WHEN regexp_full_match(c, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') THEN try_cast(c AS DATE) END AS day FROM held)
+  SELECT v.line_id, {', '.join(f"max(num) FILTER (WHERE quantity = '{q}') AS {q}" for q in _NUMERIC)}, max(c) FILTER (WHERE quantity = 'remark') AS remark,
+    (max(day) FILTER (WHERE quantity = 'logged_on'))::VARCHAR AS logged_on FROM verdict v LEFT JOIN typed USING (line_id) WHERE reason IS NULL GROUP BY v.line_id""")
+def p2_values(spark: SparkSession, d: str) -> DataFrame:
+    """The typed columns of the one consistent table."""
+    return p2_table(spark, d).select("line_id", *_NUMERIC, "remark", F.col("logged_on").cast("string").alias("logged_on"))
+
+
 # ---------------------------------------------------------------- 3: quantities recorded in different units
 
 _CODES = "(" + ", ".join(map(str, units.MISSING_CODES)) + ")"
