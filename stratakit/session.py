@@ -50,7 +50,7 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     past the limit.
     """
     fixed = 16 * len(df.columns)
-    wide = [F.octet_length(F.to_json(F.struct(f.name)) if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)) else F.col(f"`{f.name}`")) for f in df.schema.fields
+    wide = [F.octet_length(F.to_json(F.struct(F.col(f"`{f.name}`"))) if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)) else F.col(f"`{f.name}`")) for f in df.schema.fields
             if isinstance(f.dataType, (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType))]
     width = sum((F.coalesce(w, F.lit(0)) for w in wide), F.lit(fixed))
     n, size = df.limit(limit + 1).agg(F.count("*"), F.coalesce(F.sum(width), F.lit(0))).head()
